@@ -29,17 +29,23 @@ def ends_sentence(c: Column) -> Column:
 
 
 def _shape(docs: DataFrame, text: str) -> DataFrame:
-    t = F.rtrim(F.regexp_replace(F.col(text), r"[\s\x{00A0}\x{3000}]+$", ""))
-    d = docs.withColumn("_t", t).filter(F.col("_t") != "")
-    d = d.withColumn("_full", F.length(text)).withColumn("_bytes", F.octet_length(text))
-    d = d.withColumn("_line", F.regexp_extract("_t", r"([^\n\r]*)$", 1)).withColumn("_one", ~F.col("_t").contains("\n"))
-    d = d.withColumn("_dots", F.col("_t").rlike(DOTS + r"[\"'”’»)]*$"))
-    d = d.withColumn("_broken", F.col("_t").rlike(BROKEN)).withColumn("_ended", ends_sentence(F.col("_t")) & ~F.col("_broken"))
-    bare = F.trim(F.regexp_replace(F.regexp_replace("_line", DOTS + r".{0,2}$", ""), r"\d+", "0"))
-    words = F.split(bare, r"\s+")
-    d = d.withColumn("_w", words).withColumn("_first", F.element_at("_w", 1)).withColumn("_last", F.element_at("_w", -1))
-    d = d.withColumn("_two", F.concat_ws(" ", F.slice("_w", 1, 2)))
-    return d.withColumn("_tail", F.concat_ws(" ", F.slice("_w", F.greatest(F.size("_w") - 1, F.lit(1)), F.lit(2))))
+    """What the end of a text shows. Only its last line and last words matter here, so 400 characters are kept of it; lengths are the whole text's."""
+    white = F.lit(" \t\n\r\x0b\x0c\u00a0\u3000")
+    d = docs.withColumn("_all", F.rtrim(F.col(text), white)).filter(F.col("_all") != "")
+    d = d.select(
+        *[c for c in docs.columns if c != text], F.length(text).alias("_full"), F.octet_length(text).alias("_bytes"),
+        (~F.col("_all").contains("\n")).alias("_one"), F.length("_all").alias("_n"), F.right("_all", F.lit(400)).alias("_t"),
+    )
+    d = d.withColumn("_dots", F.col("_t").rlike(DOTS + r"[\"'”’»)]*$")).withColumn("_broken", F.col("_t").rlike(BROKEN))
+    d = d.withColumn("_ended", ends_sentence(F.col("_t")) & ~F.col("_broken")).withColumn("_line", F.substring_index(F.translate("_t", "\r", "\n"), "\n", -1))
+    d = d.withColumn("_inner", F.col("_t").rlike(f"{STOP}[\\s{CLOSE[1:-1]}]+\\S")).drop("_t")
+    d = d.withColumn("_bare", F.trim(F.regexp_replace(F.regexp_replace("_line", DOTS + r".{0,2}$", ""), r"\d+", "0")))
+    d = d.withColumn("_w", F.split("_bare", r"\s+")).withColumn("_after", F.split(F.element_at(F.split("_bare", STOP), -1), r"\s+"))
+    d = d.withColumn("_after", F.filter("_after", lambda x: x != ""))
+    return d.select(
+        "*", F.element_at("_w", 1).alias("_first"), F.element_at("_w", -1).alias("_last"), F.concat_ws(" ", F.slice("_w", 1, 2)).alias("_two"),
+        F.concat_ws(" ", F.slice("_after", F.greatest(F.size("_after") - 1, F.lit(1)), F.lit(2))).alias("_tail"),
+    ).drop("_w", "_after", "_bare")
 
 
 def spikes(shaped: DataFrame, source: str, least: int = 4, times: float = 4.0, near: int = 40, open_share: float = 0.7) -> DataFrame:
@@ -59,58 +65,62 @@ def spikes(shaped: DataFrame, source: str, least: int = 4, times: float = 4.0, n
     return h.filter(narrow | wide).select(source, "unit", F.col("n").alias("length")).distinct()
 
 
-def truncated(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", natural: float = 0.5, often: float = 0.01, seen: int = 3) -> DataFrame:
+def truncated(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", natural: float = 0.5, often: float = 0.02, seen: int = 3) -> DataFrame:
     """key, source, cut (BOOLEAN), reason of every text that is not blank; null, empty and blank texts were not cut.
 
-    reason: ``limit`` (at a spike of its source, no sentence ended), ``broken`` (ends in a broken character or entity),
+    reason: ``broken`` (ends in a broken character or entity), ``limit`` (at a spike of its source, no sentence ended),
     ``dots`` (dots after an end that is no closing phrase), ``open`` (no end of a sentence, list, credit or headline).
 
-    Closing phrases and credits are those whose words come back: the last two words before dots in at least ``seen``
-    texts and ``often`` of all that end in dots; the first words or the last word of an open last line that stay
-    open in at least ``natural`` of the lines so begun, in at least ``seen`` texts. One line without an inner stop is a
-    headline if it begins or ends in a known way or its last word is one that sentences end with. Sources may be null
-    and are then one source. ``docs`` may hold any other columns.
+    Closing phrases and credits are those whose words come back: the last words before dots in at least ``seen``
+    texts and ``often`` of all that end in dots; first words of a last line that stay open in at least ``natural`` of
+    the lines so begun, in at least ``seen`` texts; a last word that mostly stands at an open end. One line without an
+    inner stop is a headline if it begins or ends in such a way, or ends in a word that sentences end with or a
+    name, unless it begins as sentences do. Sources may be null and are then one source. ``docs`` may hold any other columns.
     """
     tmp = Scratch(docs.sparkSession, "truncated")
     slim = docs.select(F.col(key).alias("_key"), F.coalesce(F.col(source), F.lit("")).alias("_source"), F.col(text).alias("_text"))
-    shaped = _shape(slim, "_text")
-    d = tmp.keep(shaped.drop("_text", "_w").withColumn("_inner", F.col("_t").rlike(f"{STOP}[\\s{CLOSE[1:-1]}]+\\S")).withColumn("_t", F.when(~F.col("_ended") & F.col("_one"), F.col("_t"))), "ends")
+    d = tmp.keep(_shape(slim, "_text"), "ends")
     limit = spikes(d, "_source")
     d = d.join(limit.filter("unit = 'chars'").select("_source", F.col("length").alias("_full"), F.lit(True).alias("_c")), ["_source", "_full"], "left")
     d = d.join(limit.filter("unit = 'bytes'").select("_source", F.col("length").alias("_bytes"), F.lit(True).alias("_b")), ["_source", "_bytes"], "left")
-    d = d.withColumn("_limit", F.coalesce("_c", "_b", F.lit(False)) & ~F.col("_ended")).drop("_c", "_b")
-    # how lines begin in the whole corpus, and whether they end a sentence
-    lines = slim.filter(F.col("_text").isNotNull()).select(F.explode(F.split("_text", r"[\n\r]+")).alias("line"))
-    lines = lines.select(F.trim(F.regexp_replace("line", r"\d+", "0")).alias("line")).filter("line <> ''")
-    lines = lines.select(ends_sentence(F.col("line")).alias("ended"), F.split("line", r"\s+", 3).alias("w"))
-    heads = lines.select("ended", F.explode(F.array_distinct(F.array(F.element_at("w", 1), F.concat_ws(" ", F.slice("w", 1, 2))))).alias("head"))
-    heads = heads.groupBy("head").agg(F.count("*").alias("n"), F.sum((~F.col("ended")).cast("int")).alias("open"))
-    known = heads.filter((F.col("open") >= seen) & (F.col("open") >= natural * F.col("n"))).select("head", F.lit(True).alias("_k"))
+    d = tmp.keep(d.withColumn("_limit", F.coalesce("_c", "_b", F.lit(False)) & ~F.col("_ended")).drop("_c", "_b"), "limits")
     open_ = ~F.col("_ended") & ~F.col("_dots") & ~F.col("_limit") & ~F.col("_broken")
-    total = d.agg(F.sum(open_.cast("int")).alias("o"), F.sum((F.col("_dots") & ~F.col("_limit")).cast("int")).alias("p")).first()
+    dotted = F.col("_dots") & ~F.col("_limit") & ~F.col("_broken")
+    total = d.agg(F.sum(open_.cast("int")).alias("o"), F.sum(dotted.cast("int")).alias("p")).first()
     n_open, n_dots = total["o"] or 0, total["p"] or 0
-    lasts = d.filter(open_ & ~F.col("_last").rlike(DENSE)).groupBy("_last").agg(F.count("*").alias("n")).filter(F.col("n") >= max(seen, often * n_open)).select("_last", F.lit(True).alias("_kl"))
-    tails = d.filter(F.col("_dots") & ~F.col("_limit")).groupBy("_tail").agg(F.count("*").alias("n")).filter(F.col("n") >= max(seen, often * n_dots)).select("_tail", F.lit(True).alias("_kt"))
-    # words that sentences end with, among the last words in question
-    asked = d.filter(open_ & F.col("_one")).select(F.col("_last").alias("word")).distinct()
-    words = slim.filter(F.col("_text").isNotNull()).select(F.explode(F.regexp_extract_all("_text", F.lit(r"([^\s.,;:!?。，！？“”\"()]+)([.!?。！？;,]?)"), F.lit(0))).alias("x"))
-    words = words.select(F.regexp_replace("x", r"[.!?。！？;,]$", "").alias("word"), F.col("x").rlike(r"[.!?。！？;,]$").alias("stop"))
-    finals = words.join(asked, "word", "left_semi").groupBy("word").agg(F.count("*").alias("n"), F.sum(F.col("stop").cast("int")).alias("stops"))
-    finals = finals.select(F.col("word").alias("_last"), (F.col("stops") >= F.greatest(F.lit(1.0), 0.02 * F.col("n"))).alias("_final"))
-    d = d.join(known.withColumnRenamed("head", "_first").withColumnRenamed("_k", "_k1"), "_first", "left").join(known.withColumnRenamed("head", "_two").withColumnRenamed("_k", "_k2"), "_two", "left")
-    d = d.join(lasts, "_last", "left").join(tails, "_tail", "left").join(finals, "_last", "left")
+    # how lines begin in the whole corpus and whether they end a sentence, for the beginnings in question
+    asked = d.filter(open_).select(F.explode(F.array_distinct(F.array("_first", "_two"))).alias("head")).distinct()
+    lines = slim.filter(F.col("_text").isNotNull()).select(F.explode(F.split("_text", r"[\n\r]+")).alias("line"))
+    lines = lines.select(F.rtrim(F.right("line", F.lit(60))).alias("end"), F.split(F.trim(F.regexp_replace(F.left("line", F.lit(120)), r"\d+", "0")), r"\s+", 3).alias("w"))
+    heads = lines.select("end", F.explode(F.array_distinct(F.array(F.element_at("w", 1), F.concat_ws(" ", F.slice("w", 1, 2))))).alias("head"))
+    heads = heads.join(asked, "head", "left_semi").groupBy("head").agg(F.count("*").alias("n"), F.sum((~ends_sentence(F.col("end"))).cast("int")).alias("open"))
+    begins = F.when((F.col("open") >= seen) & (F.col("open") >= natural * F.col("n")), 1).when((F.col("n") >= 10 * seen) & (F.col("open") < 0.25 * F.col("n")), -1)
+    heads = tmp.keep(heads.select("head", begins.alias("_k")).filter("_k is not null"), "heads")
+    tails = d.filter(dotted).groupBy("_tail").agg(F.count("*").alias("n")).filter(F.col("n") >= max(seen, often * n_dots)).select("_tail", F.lit(True).alias("_kt"))
+    # how often the last words in question are written, with a stop after them, and left at an open end
+    lasts = d.filter(open_ & ~F.col("_last").rlike(DENSE)).groupBy("_last").agg(F.count("*").alias("left"))
+    words = slim.filter(F.col("_text").isNotNull()).select(F.explode(F.split("_text", r"[\s“”\"()]+")).alias("x"))
+    words = words.select(F.rtrim("x", F.lit(".,;:!?。！？")).alias("_last"), F.col("x").rlike(r"[.!?。！？;,]$").alias("stop"))
+    lasts = words.join(lasts, "_last").groupBy("_last", "left").agg(F.count("*").alias("n"), F.sum(F.col("stop").cast("int")).alias("stops"))
+    lasts = lasts.select(
+        "_last", (F.col("stops") >= F.greatest(F.lit(1.0), 0.02 * F.col("n"))).alias("_final"),
+        ((F.col("left") >= max(seen, often * n_open / 10)) & (F.col("left") >= natural * F.col("n"))).alias("_kl"),
+    )
+    d = d.join(heads.withColumnRenamed("head", "_first").withColumnRenamed("_k", "_k1"), "_first", "left").join(heads.withColumnRenamed("head", "_two").withColumnRenamed("_k", "_k2"), "_two", "left")
+    d = d.join(lasts, "_last", "left").join(tails, "_tail", "left")
     yes = lambda c: F.coalesce(F.col(c), F.lit(False))
-    credit = F.col("_line").rlike(ITEM) | yes("_k1") | yes("_k2") | yes("_kl") | (F.col("_line").rlike(LABEL) & ~F.col("_one"))
-    name_end = F.col("_last").rlike(r"^\p{Lu}")
-    headline = F.col("_one") & ~F.col("_inner") & ~F.col("_line").rlike(DENSE) & (yes("_k1") | yes("_k2") | yes("_kl") | yes("_final") | (name_end & (F.length("_line") < 80)))
-    # dots after a space, or after the mark that ended a sentence, are style
-    style = yes("_kt") | F.col("_line").rlike(f"(?:\\s|{STOP}{CLOSE}*)(?:…+|……)$|[”’»]$")
+    known = (F.coalesce("_k1", F.lit(0)) > 0) | (F.coalesce("_k2", F.lit(0)) > 0) | yes("_kl")
+    opener = (F.coalesce("_k1", F.lit(0)) < 0) | (F.coalesce("_k2", F.lit(0)) < 0)
+    credit = F.col("_line").rlike(ITEM) | known | F.col("_line").rlike(LABEL)
+    name_end = F.col("_last").rlike(r"^\p{Lu}") & (F.length("_line") < 80)
+    headline = F.col("_one") & ~F.col("_inner") & (F.col("_n") < 200) & ~F.col("_line").rlike(DENSE) & (known | (~opener & (yes("_final") | name_end)))
+    # dots after the mark that ended a sentence, or inside a closing quotation, are style
+    style = yes("_kt") | F.col("_line").rlike(f"{STOP}{CLOSE}*(?:…+|……)$|[”’»]$")
     reason = (
         F.when(F.col("_broken"), "broken").when(F.col("_limit"), "limit").when(F.col("_dots"), F.when(~style, "dots"))
         .when(~F.col("_ended"), F.when(F.when(F.col("_one"), ~headline).otherwise(~credit), "open"))
     )
-    d = d.withColumn("reason", reason)
-    return d.select(F.col("_key").alias(key), F.nullif("_source", F.lit("")).alias(source), F.col("reason").isNotNull().alias("cut"), "reason")
+    return d.select(F.col("_key").alias(key), F.nullif("_source", F.lit("")).alias(source), reason.isNotNull().alias("cut"), reason.alias("reason"))
 
 
 def shares(found: DataFrame, source: str = "source") -> DataFrame:
