@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..plans import table
-from . import bpe, confusables, consensus, packing, truncation
+from . import bpe, confusables, consensus, matching, packing, truncation
 
 
 def _names(spark, d):
@@ -15,6 +15,18 @@ def _names(spark, d):
     ])
 
 
+def _matches(spark, d):
+    return matching.match(table(spark, d, "extracted_entities"), table(spark, d, "entities"))
+
+
+def p3_found(spark, d):
+    return _matches(spark, d).select("extracted_id", "uid")
+
+
+def p3_matches(spark, d):
+    return _matches(spark, d)
+
+
 def p4_found(spark, d):
     return confusables.with_forms(_names(spark, d), "value").filter("needed").select("table_name", "row_key", "field")
 
@@ -64,5 +76,5 @@ def p9_sources(spark, d):
     return truncation.shares(truncation.truncated(table(spark, d, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p4_forms, p4_groups, p6_found, p6_items, p6_labellers, p7_ids, p8_pack, p9_found, p9_sources)}
+QUERIES = {f.__name__: f for f in (p3_found, p3_matches, p4_found, p4_forms, p4_groups, p6_found, p6_items, p6_labellers, p7_ids, p8_pack, p9_found, p9_sources)}
 SQL: dict[str, str] = {}
