@@ -138,3 +138,48 @@ def similarity(a: tuple[str, ...], b: tuple[str, ...], weight, extra_a: float =
         total += extra_b * (0.2 if mates else weight(y) if len(y) > 1 else 0.3 * weight(y))
         used.update(mates)
     return got / total if total else 0.0
+
+
+def compatible(kind: str, a: tuple[str, ...], b: tuple[str, ...], common) -> bool:
+    """Whether two names can be one: every word of one of them has a like word in the other, and enough words agree.
+
+    A person's longer name may have one more word, an organisation's one more of the words many names have
+    (``common``), beside initials; words that only one has on both sides speak against it, as do two different branches.
+    """
+    if a == b:
+        return True
+    left, right, agree, firm = list(a), list(b), 0, 0
+    for w in a:
+        if w in right:
+            left.remove(w)
+            right.remove(w)
+            agree += 1
+            firm += len(w) > 1
+    for w in sorted(left, key=len, reverse=True):
+        best = max(right, key=lambda y: near(w, y), default="")
+        if best and near(w, best):
+            left.remove(w)
+            right.remove(best)
+            agree += 1
+            firm += len(w) > 1 and len(best) > 1
+    for one, other in ((left, right), (right, left)):
+        for w in [w for w in one if len(w) >= 6]:
+            pair = next(((p, q) for p in other for q in other if p is not q and near(w, p + q) >= 0.9), None)
+            if pair:
+                one.remove(w)
+                for p in pair:
+                    other.remove(p)
+                agree += 2
+                firm += 2
+        for w in [w for w in one if 2 < len(w) < 8]:
+            whole = b if one is left else a
+            if sorted(w) == sorted(x[0] for x in whole) and firm:
+                one.remove(w)
+                other.clear()
+                agree += 2
+    if left and right or not firm:
+        return False
+    rest = [w for w in left + right if len(w) > 1]
+    if kind == "PERSON":
+        return len(rest) <= 1 and agree >= 2
+    return len(rest) <= 1 and agree >= 2 and all(w in common for w in rest)

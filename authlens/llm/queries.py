@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..plans import table
-from . import bpe, confusables, consensus, matching, packing, truncation
+from . import bpe, confusables, consensus, matching, packing, truncation, variants
 
 
 def _names(spark, d):
@@ -39,6 +39,15 @@ def p4_groups(spark, d):
     return confusables.look_alikes(_names(spark, d))
 
 
+def p5_found(spark, d):
+    mentions = table(spark, d, "extracted_entities")
+    return variants.variant_pairs(mentions, variants.variant_clusters(mentions, table(spark, d, "entities")))
+
+
+def p5_clusters(spark, d):
+    return variants.variant_clusters(table(spark, d, "extracted_entities"), table(spark, d, "entities"))
+
+
 def _votes(spark, d):
     votes = consensus.usable_votes(table(spark, d, "eval_labels")).persist()
     return votes, consensus.labeller_skill(consensus.pair_agreement(votes))
@@ -76,5 +85,5 @@ def p9_sources(spark, d):
     return truncation.shares(truncation.truncated(table(spark, d, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_matches, p4_found, p4_forms, p4_groups, p6_found, p6_items, p6_labellers, p7_ids, p8_pack, p9_found, p9_sources)}
+QUERIES = {f.__name__: f for f in (p3_found, p3_matches, p4_found, p4_forms, p4_groups, p5_found, p5_clusters, p6_found, p6_items, p6_labellers, p7_ids, p8_pack, p9_found, p9_sources)}
 SQL: dict[str, str] = {}
