@@ -71,13 +71,13 @@ edges as (
   where (volume, child) in (select volume, k from keys) and (volume, parent) in (select volume, k from keys) group by all
   union all select 'canonical', '', uid, canonical_uid from entities where canonical_uid <> '' and canonical_uid <> uid),
 walk as (
-  select tree, scope, child as node, parent as at, [child, parent] as seen, child = parent as ring from edges
+  select tree, scope, child as node, parent as cur, [child, parent] as seen, child = parent as ring from edges
   union all
   select w.tree, w.scope, w.node, e.parent, list_append(w.seen, e.parent), list_contains(w.seen, e.parent)
-  from walk w join edges e on e.tree = w.tree and e.scope = w.scope and e.child = w.at where not w.ring),
+  from walk w join edges e on e.tree = w.tree and e.scope = w.scope and e.child = w.cur where not w.ring),
 ends as (select *, row_number() over (partition by tree, scope, node order by len(seen) desc) as n from walk),
 tops as (select tree, scope, node, ring, seen,
-    case when ring then list_min(seen[list_position(seen, at):len(seen)]) else at end as root from ends where n = 1)"""
+    case when ring then list_min(seen[list_position(seen, cur):len(seen)]) else cur end as root from ends where n = 1)"""
 
 SQL = {
     "p1_found": _CHANGES + "select snapshot, uid, change from changes",
