@@ -24,7 +24,7 @@ def plain(text: str) -> str:
     return unicodedata.normalize("NFC", "".join(PROTOTYPE.get(c, c) for c in t if not "̀" <= c <= "ͯ"))
 
 
-@lru_cache(200_000)
+@lru_cache(20_000)
 def aliases(text: str) -> tuple[str, ...]:
     """The name, or two names where a bracket repeats it in another script."""
     m = _BRACKET.match(text)
@@ -36,7 +36,12 @@ def aliases(text: str) -> tuple[str, ...]:
     return (text,)
 
 
-@lru_cache(200_000)
+def written(names) -> list[str]:
+    """All names of a thing, brackets taken apart, in a fixed order."""
+    return sorted({a for n in names if n for a in aliases(n)})
+
+
+@lru_cache(50_000)
 def parts(text: str) -> tuple[str, ...]:
     """The words that identify, in order: no titles, particles or empty words; initials stay as single letters."""
     t = _LINK.sub(" ", _NICK.sub("", plain(text))).replace("'", "").replace("’", "").replace("‘", "")
@@ -45,7 +50,7 @@ def parts(text: str) -> tuple[str, ...]:
     return tuple(kept or words)
 
 
-@lru_cache(500_000)
+@lru_cache(100_000)
 def near(a: str, b: str) -> float:
     """How alike two words are: 1 equal, 0 not alike. One slip for each five letters, neighbours swapped counting as one; an initial or a shortening stands for its word."""
     if a == b:
