@@ -161,3 +161,22 @@ def test_cosine_join_finds_what_brute_force_finds(spark):
             dot = sum(w[x] for x in set(g[a]) & set(g[b])) / math.sqrt(sum(w[x] for x in g[a]) * sum(w[x] for x in g[b]))
             want += dot >= 0.58 and names.compatible("PERSON", tuple(a.split("|")[1].split()), tuple(b.split("|")[1].split()), set())
     assert abs(len(got) - want) <= 1 and want > 30
+
+
+def linked(spark, near, n, together=()):
+    from authlens.scratch import Scratch
+
+    start = spark.createDataFrame([(i, dict(together).get(i, i)) for i in range(1, n + 1)], "id long, cluster long")
+    got = collections.defaultdict(set)
+    for r in variants.average_linkage(start, spark.createDataFrame(near, "a long, b long, cosine double"), Scratch(spark, "t")).collect():
+        got[r.cluster].add(r.id)
+    return sorted(map(sorted, got.values()))
+
+
+def test_one_kept_pair_does_not_join_clusters_of_unlike_members(spark):
+    chain = [(1, 2, 0.9), (3, 4, 0.9), (2, 3, 0.7)]
+    assert linked(spark, chain, 4) == [[1, 2], [3, 4]]
+    # a triangle is alike on average: (0.7 + 0.6) / 2
+    assert linked(spark, [(1, 2, 0.9), (1, 3, 0.7), (2, 3, 0.6)], 3) == [[1, 2, 3]]
+    # names one source gives for one thing are one member
+    assert linked(spark, [(2, 3, 0.7)], 3, {2: 1}.items()) == [[1, 2, 3]]
