@@ -180,3 +180,9 @@ def test_one_kept_pair_does_not_join_clusters_of_unlike_members(spark):
     assert linked(spark, [(1, 2, 0.9), (1, 3, 0.7), (2, 3, 0.6)], 3) == [[1, 2, 3]]
     # names one source gives for one thing are one member
     assert linked(spark, [(2, 3, 0.7)], 3, {2: 1}.items()) == [[1, 2, 3]]
+
+
+def test_merging_goes_on_until_nothing_is_left(spark):
+    # all alike: one joined the smallest id a round before, and 40 rounds were all
+    tied = [(i, j, 0.8) for i in range(1, 49) for j in range(i + 1, 49)]
+    assert linked(spark, tied, 48) == [list(range(1, 49))]
