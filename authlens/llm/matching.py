@@ -2,7 +2,7 @@
 
 Sorted neighbourhood: both sides are sorted by several composite keys, each mention is compared with the records
 that stand next to it, fields are weighed by kind, and of the matches of one article each record goes to one
-written name, such that the sum of confidences is as large as can be.
+written name, the best pairs first.
 """
 
 from __future__ import annotations
@@ -255,25 +255,26 @@ def match(mentions: DataFrame, records: DataFrame, width: int = 5, floor: float
 def assign(mentions: DataFrame, scored: DataFrame, tmp: Scratch, floor: float, margin: float) -> DataFrame:
     """Of each article, every written name gets one thing and every thing one written name, the best pairs first.
 
-    Written names that are one name (the same words in any order) and mentions repeated under other ids go together. A pair that is the best of both its
-    sides is taken, its sides leave, and so on: as no later pair can better it, the total is the greatest that taking turns can reach. Few articles need a second turn.
+    Written names that are one name (the same words in any order) and mentions repeated under other ids go together. All pairs of at least ``floor`` stand in one
+    strict order: scores in steps of ``margin``, agreeing fields, score, uid, name. A pair that is the best of both its
+    sides is taken, its sides leave, and so on until no pair is left, which is the same as taking the article's pairs in that order. Few articles need a second turn.
     """
-    w = Window.partitionBy("rid").orderBy(F.round(F.col("score") / margin).desc(), F.col("agree").desc(), F.col("score").desc(), "uid")
-    good = scored.filter(F.col("score") >= floor).withColumn("n", F.row_number().over(w)).filter("n <= 3")
     words_of = F.pandas_udf(lambda s: pd.Series([" ".join(sorted(parts(x[0]))) for x in s]), "string")
     name = mentions.select("rid", "article_id", words_of("names").alias("said")).distinct()
-    edges = good.join(name, "rid").groupBy("article_id", "said", "uid").agg(F.max("score").alias("score"), F.max("agree").alias("agree"), F.min("n").alias("n"))
+    rank = F.struct(F.round(F.col("score") / margin).alias("step"), "agree", "score")
+    edges = scored.filter(F.col("score") >= floor).join(name, "rid").groupBy("article_id", "said", "uid").agg(F.max(rank).alias("rank"))
     edges = tmp.keep(edges, "edges0")
     taken: DataFrame | None = None
-    for turn in range(1, 4):
-        a = Window.partitionBy("article_id", "said").orderBy("n", F.col("score").desc(), "uid")
-        b = Window.partitionBy("article_id", "uid").orderBy(F.col("score").desc(), F.col("agree").desc(), "n", "said")
-        best = edges.withColumn("_a", F.row_number().over(a)).withColumn("_b", F.row_number().over(b)).filter("_a = 1 and _b = 1").drop("_a", "_b")
-        best = tmp.keep(best.select("article_id", "said", "uid", "score"), f"taken{turn}")
+    turn = 0
+    while taken is None or not edges.isEmpty():
+        turn += 1
+        order = [F.col("rank").desc(), "uid", "said"]
+        a, b = Window.partitionBy("article_id", "said").orderBy(*order), Window.partitionBy("article_id", "uid").orderBy(*order)
+        best = edges.withColumn("_a", F.row_number().over(a)).withColumn("_b", F.row_number().over(b)).filter("_a = 1 and _b = 1")
+        best = tmp.keep(best.select("article_id", "said", "uid", F.col("rank.score").alias("score")), f"taken{turn}")
         taken = best if taken is None else taken.unionByName(best)
         edges = tmp.keep(edges.join(best.select("article_id", "said"), ["article_id", "said"], "left_anti").join(best.select("article_id", "uid"), ["article_id", "uid"], "left_anti"), f"edges{turn}")
-        if edges.isEmpty():
-            break
+        tmp.drop(f"edges{turn - 1}")
     ids = mentions.select("id", "rid", "article_id", words_of("names").alias("said"))
     return ids.join(taken, ["article_id", "said"]).select(F.col("id").alias("extracted_id"), "uid", F.least(F.col("score"), F.lit(1.0)).alias("confidence"))
 

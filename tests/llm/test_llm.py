@@ -186,3 +186,28 @@ def test_merging_goes_on_until_nothing_is_left(spark):
     # all alike: one joined the smallest id a round before, and 40 rounds were all
     tied = [(i, j, 0.8) for i in range(1, 49) for j in range(i + 1, 49)]
     assert linked(spark, tied, 48) == [list(range(1, 49))]
+
+
+def assigned(spark, edges):
+    """said: uid of (name, uid, score, agree), all in one article."""
+    from authlens.scratch import Scratch
+
+    said = sorted({e[0] for e in edges})
+    m = spark.createDataFrame([(i, i, 1, [n]) for i, n in enumerate(said)], "id long, rid long, article_id long, names array<string>")
+    scored = spark.createDataFrame([(said.index(n), u, float(s), a) for n, u, s, a in edges], "rid long, uid string, score double, agree int")
+    return {said[r.extracted_id]: r.uid for r in matching.assign(m, scored, Scratch(spark, "t"), 0.76, 0.03).collect()}
+
+
+def test_assignment_goes_on_while_a_mention_and_a_thing_are_free(spark):
+    # each wants first what the one before it takes
+    chain = [("anna", "x1", 0.99, 0)]
+    for i, n in enumerate(("bert", "cleo", "dora", "emil"), 1):
+        chain += [(n, f"x{i}", 0.99 - 0.04 * i, 0), (n, f"x{i + 1}", 0.97 - 0.04 * i, 0)]
+    chain = [(n, u, s + 0.1, a) for n, u, s, a in chain]
+    assert assigned(spark, chain) == {"anna": "x1", "bert": "x2", "cleo": "x3", "dora": "x4", "emil": "x5"}
+    # five names for the same five things
+    crowd = [(n, f"y{j}", 0.95 - 0.03 * j - 0.001 * i, 0) for i, n in enumerate(("anna", "bert", "cleo", "dora", "emil")) for j in range(5)]
+    assert sorted(assigned(spark, crowd).values()) == [f"y{j}" for j in range(5)]
+    # namesakes that preferred each other's thing: by agreeing fields, by score
+    cross = [("anna", "x", 0.90, 2), ("anna", "y", 0.91, 1), ("bert", "x", 0.909, 1), ("bert", "y", 0.905, 2)]
+    assert assigned(spark, cross) == {"anna": "x", "bert": "y"}
