@@ -146,19 +146,22 @@ def _number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         at_here = at + (b.side == 1).cumsum().to_numpy()
         at = int(at_here[-1]) if len(b) else at
-        yield b.assign(part=part, place=at_here)[["side", "rid", "n", "part", "place"]]
+        yield b.assign(part=part, place=at_here)[["side", "rid", "n", "equal", "part", "place"]]
 
 
 def neighbours(rows: DataFrame, tmp: Scratch, width: int = 5, parts_: int | None = None) -> DataFrame:
-    """Pairs (mention, record, n: which of the record's names) that stand within ``width`` records of each other under a key.
+    """Pairs (mention, record, n: which of the record's names) of one key, whatever their number, or within ``width`` records before and after those of the mention's key.
 
     ``rows``: side (0 mention, 1 record), rid, n, key. Rows are range-partitioned and sorted by key, records are numbered in that order
     over all parts (the offsets of the parts are the only thing the driver holds), and each mention is joined with the numbers around its place; windows so run over part limits.
+    A mention stands before the records of its key, so its window reaches over as many as there are and ``width`` more; numbers spread the join, a crowded key's too.
     """
     spark = rows.sparkSession
     n = parts_ or max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    equal = rows.filter("side = 1").groupBy("key").agg(F.count("*").alias("equal"))
+    rows = rows.join(equal, "key", "left").withColumn("equal", F.coalesce("equal", F.lit(0)))
     ordered = rows.repartitionByRange(n, "key", "side", "rid").sortWithinPartitions("key", "side", "rid")
-    placed = tmp.keep(ordered.mapInPandas(_number, "side int, rid string, n int, part int, place long"), "placed")
+    placed = tmp.keep(ordered.mapInPandas(_number, "side int, rid string, n int, equal long, part int, place long"), "placed")
     sizes = sorted((r["part"], r["n"]) for r in placed.filter("side = 1").groupBy("part").agg(F.count("*").alias("n")).collect())
     before, offset = 0, {}
     for part, size in sizes:
@@ -168,7 +171,7 @@ def neighbours(rows: DataFrame, tmp: Scratch, width: int = 5, parts_: int | None
     table = F.create_map(*[F.lit(x) for p in range(n) for x in (p, every[p])])
     placed = placed.withColumn("place", F.col("place") + table[F.col("part")])
     records = placed.filter("side = 1").select("place", F.col("rid").alias("record"), "n")
-    mentions = placed.filter("side = 0").select(F.col("rid").cast("long").alias("mention"), F.explode(F.sequence(F.col("place") - width + 1, F.col("place") + width)).alias("place"))
+    mentions = placed.filter("side = 0").select(F.col("rid").cast("long").alias("mention"), F.explode(F.sequence(F.col("place") - width + 1, F.col("place") + F.col("equal") + width)).alias("place"))
     return mentions.join(records, "place").select("mention", "record", "n").distinct()
 
 

@@ -211,3 +211,17 @@ def test_assignment_goes_on_while_a_mention_and_a_thing_are_free(spark):
     # namesakes that preferred each other's thing: by agreeing fields, by score
     cross = [("anna", "x", 0.90, 2), ("anna", "y", 0.91, 1), ("bert", "x", 0.909, 1), ("bert", "y", 0.905, 2)]
     assert assigned(spark, cross) == {"anna": "x", "bert": "y"}
+
+
+def test_every_record_of_an_equal_key_is_compared(spark):
+    from authlens.scratch import Scratch
+
+    rows = [(0, "1", 0, "k5")] + [(1, f"r{i:02}", 0, "k5") for i in range(20)] + [(1, f"{s}{i}", 0, f"k{s}{i}") for s in "19" for i in range(9)]
+    got = {r.record for r in matching.neighbours(spark.createDataFrame(rows, "side int, rid string, n int, key string"), Scratch(spark, "t")).collect()}
+    assert got == {f"r{i:02}" for i in range(20)} | {f"1{i}" for i in range(4, 9)} | {f"9{i}" for i in range(5)}
+
+
+def test_the_tenth_of_many_namesakes_is_found(spark):
+    ents = [(f"u{i}", "Zurnleln Norrlelk", "PERSON", None, {"Occupation": "Editor" if i == 19 else "Potter"}, True) for i in range(10, 30)]
+    said = [(1, 5, "Zurnleln Norrlelk", None, "PERSON", {"Job": "Editor"}, dt.datetime(2026, 1, 1))]
+    assert {r.extracted_id: r.uid for r in matching.match(spark.createDataFrame(said, EXT), spark.createDataFrame(ents, ENT)).collect()} == {1: "u19"}
