@@ -17,8 +17,9 @@ def hierarchy(edges: DataFrame, max_levels: int | None = None, paths: bool = Tru
     """Path, depth and root of every node with a parent.
 
     ``edges``: scope, child, parent (STRING). Of several parents of one child the smallest is taken; rows with a null
-    end are ignored. Returns scope, node, parent, root, depth (null on or below a ring), path (root first; null on or
-    below a ring), cycle (``no``, ``on`` the ring, ``below`` it).
+    end are ignored. Returns scope, node, parent, root (of a ring and below it the ring's smallest node), depth (null on a
+    ring), path (root first; null on a ring), cycle (``no``, ``on`` the ring, ``below`` it). Below a ring, path and depth
+    count from the node of the ring that the branch hangs from.
 
     Trees grow level by level from the roots: the frontier (nodes placed last) joins the edges on the parent, so a
     level costs one join and every edge is placed once. A hot parent is spread by the skew handling of the adaptive
@@ -32,27 +33,40 @@ def hierarchy(edges: DataFrame, max_levels: int | None = None, paths: bool = Tru
     )
     heads = e.select("scope", F.col("parent").alias("node")).distinct().join(e.select("scope", F.col("child").alias("node")), ["scope", "node"], "left_anti")
     frontier = heads.select("scope", "node", F.col("node").alias("root"), *([F.array("node").alias("path")] if paths else []))
-    kept, rest, level = [], e, 0
+    kept = _levels(e, frontier, tmp, max_levels, paths, "level")
+    tree = None
+    for x in kept:
+        tree = x if tree is None else tree.unionByName(x)
+    shape = ["scope", "node", "parent", "root", "depth", *(["path"] if paths else []), "cycle"]
+    left = e if tree is None else e.join(tree.select("scope", F.col("node").alias("child")), ["scope", "child"], "left_anti")
+    rings = tmp.keep(_rings(left, tmp), "rings")
+    out = rings if not paths else rings.filter("cycle = 'on'")
+    out = out.select("scope", "node", "parent", "root", F.lit(None).cast("int").alias("depth"), *([F.lit(None).cast("array<string>").alias("path")] if paths else []), "cycle")
+    if tree is not None:
+        out = tree.withColumn("cycle", F.lit("no")).select(shape).unionByName(out.select(shape))
+    if paths:
+        below = rings.filter("cycle = 'below'").select("scope", F.col("node").alias("child"), "parent")
+        hooks = rings.filter("cycle = 'on'").select("scope", "node", "root", F.array("node").alias("path"))
+        for x in _levels(below, hooks, tmp, max_levels, paths, "below"):
+            out = out.unionByName(x.withColumn("cycle", F.lit("below")).select(shape))
+    return out.select(shape)
+
+
+def _levels(rest: DataFrame, frontier: DataFrame, tmp: Scratch, max_levels: int | None, paths: bool, name: str) -> list[DataFrame]:
+    """Tables of the edges reached from the frontier (scope, node, root, path), one a level."""
+    kept, level = [], 0
     while max_levels is None or level < max_levels:
         level += 1
         f = frontier.select("scope", F.col("node").alias("parent"), "root", *([F.col("path").alias("_up")] if paths else []))
         found = rest.join(f, ["scope", "parent"]).select(
             "scope", F.col("child").alias("node"), "parent", "root", F.lit(level).alias("depth"), *([F.concat("_up", F.array("child")).alias("path")] if paths else [])
         )
-        found = tmp.keep(found, f"level{level}")
+        found = tmp.keep(found, f"{name}{level}")
         if found.isEmpty():
             break
         kept.append(found)
         frontier = found
-    tree = None
-    for x in kept:
-        tree = x if tree is None else tree.unionByName(x)
-    shape = ["scope", "node", "parent", "root", "depth", *(["path"] if paths else []), "cycle"]
-    rings = _rings(e if tree is None else e.join(tree.select("scope", F.col("node").alias("child")), ["scope", "child"], "left_anti"), tmp)
-    rings = rings.select("scope", "node", "parent", "root", F.lit(None).cast("int").alias("depth"), *([F.lit(None).cast("array<string>").alias("path")] if paths else []), "cycle")
-    if tree is None:
-        return rings.select(shape)
-    return tree.withColumn("cycle", F.lit("no")).select(shape).unionByName(rings.select(shape))
+    return kept
 
 
 def _rings(left: DataFrame, tmp: Scratch) -> DataFrame:
@@ -86,7 +100,7 @@ def _rings(left: DataFrame, tmp: Scratch) -> DataFrame:
 
 
 def descendants(nodes: DataFrame) -> DataFrame:
-    """Ancestor pairs (scope, ancestor, node, distance) of :func:`hierarchy`'s rows; nodes on or below rings give none."""
+    """Ancestor pairs (scope, ancestor, node, distance) of :func:`hierarchy`'s rows, those below a ring included; of a ring's nodes a branch has the one it hangs from, and the ring's nodes have no ancestors."""
     up = F.posexplode(F.reverse(F.slice("path", F.lit(1), F.size("path") - 1))).alias("distance", "ancestor")
     return nodes.filter("path is not null").select("scope", "node", up).withColumn("distance", F.col("distance") + 1)
 

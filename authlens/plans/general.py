@@ -31,10 +31,17 @@ def p2_paths(spark, d):
 
 
 def p2_descendants(spark, d):
-    return descendants(_trees(spark, d, True).withColumn("scope", F.col("tree"))).groupBy(F.col("scope").alias("tree"), F.col("ancestor").alias("uid")).agg(F.count("*").alias("descendants"), F.max("distance").alias("height"))
+    """Counts and heights of the trees that end in a root, as the SQL has them; :func:`p2_ancestors` has all pairs."""
+    trees = _trees(spark, d, True).filter("cycle = 'no'").withColumn("scope", F.col("tree"))
+    return descendants(trees).groupBy(F.col("scope").alias("tree"), F.col("ancestor").alias("uid")).agg(F.count("*").alias("descendants"), F.max("distance").alias("height"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_counts, p2_found, p2_paths, p2_descendants)}
+def p2_ancestors(spark, d):
+    """The descendants themselves, those below rings included."""
+    return descendants(_trees(spark, d, True).withColumn("scope", F.col("tree"))).select(F.col("scope").alias("tree"), "ancestor", F.col("node").alias("uid"), "distance")
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_counts, p2_found, p2_paths, p2_descendants, p2_ancestors)}
 
 _LOADS = """
 valid as (select load_id, volume, snapshot from tte_imports where rows_loaded > 0

@@ -33,3 +33,10 @@ def test_descendants_and_empty(spark):
     h = hierarchy(spark.createDataFrame([("", "b", "a"), ("", "c", "b"), ("", "d", "b")], "scope string, child string, parent string"))
     assert {(r.ancestor, r.node, r.distance) for r in descendants(h).collect()} == {("a", "b", 1), ("a", "c", 2), ("b", "c", 1), ("a", "d", 2), ("b", "d", 1)}
     assert hierarchy(spark.createDataFrame([], "scope string, child string, parent string")).count() == 0
+
+
+def test_trees_below_a_ring(spark):
+    h = hierarchy(spark.createDataFrame([("", "a", "b"), ("", "b", "a"), ("", "c", "b"), ("", "d", "c"), ("", "y", "x")], "scope string, child string, parent string"))
+    got = {r.node: (r.root, r.depth, r.path, r.cycle) for r in h.collect()}
+    assert got == {"a": ("a", None, None, "on"), "b": ("a", None, None, "on"), "c": ("a", 1, ["b", "c"], "below"), "d": ("a", 2, ["b", "c", "d"], "below"), "y": ("x", 1, ["x", "y"], "no")}
+    assert {(r.ancestor, r.node, r.distance) for r in descendants(h).collect()} == {("b", "c", 1), ("c", "d", 1), ("b", "d", 2), ("x", "y", 1)}
