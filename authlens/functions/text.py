@@ -92,3 +92,23 @@ def word_runs(w: str, low: int = 2, high: int = 6) -> Column:
         return F.when(n >= size, run).otherwise(F.array().cast("array<string>"))
 
     return F.flatten(F.array(*[of(size) for size in range(low, high + 1)]))
+
+
+def dense_runs(s: str, low: int = 3, high: int = 8) -> Column:
+    """All runs of ``low`` to ``high`` characters of the column ``s``, a stretch of ideographs; it must be a stored column."""
+    n = F.length(s)
+
+    def of(size: int) -> Column:
+        run = F.transform(F.sequence(F.lit(1), F.greatest(n - size + 1, F.lit(1))), lambda i: F.substring(F.col(s), i, F.lit(size)))
+        return F.when(n >= size, run).otherwise(F.array().cast("array<string>"))
+
+    return F.flatten(F.array(*[of(size) for size in range(low, high + 1)]))
+
+
+def name_forms(name: Column) -> Column:
+    """The ways a name is printed: as it stands, without brackets, ``last, first`` in both orders, and what follows ``. ``."""
+    bare = F.trim(F.regexp_replace(name, r"\s*\([^)]*\)", ""))
+    cut = F.split(bare, ",")
+    last, rest = cut[0], F.get(cut, F.lit(1))
+    dotted = F.when(bare.contains(". "), F.substring(bare, F.instr(bare, ". ") + 2, F.length(bare)))
+    return F.array_distinct(F.array_compact(F.array(name, bare, F.concat_ws(" ", rest, last), F.concat_ws(" ", last, rest), dotted)))

@@ -335,6 +335,18 @@ def gazetteer(spark, d):
     return docs.join(names, "phrase").groupBy("uid").agg(F.count("*").alias("documents"), F.min("doc_id").alias("first_doc"))
 
 
+@query()
+def gazetteer_forms(spark, d):
+    """As :func:`gazetteer`, with the printed forms of each name and names of 3 to 8 ideographs, which are looked up in runs of characters."""
+    docs = table(spark, d, "documents").filter("text is not null").select("doc_id", "text")
+    said = docs.select("doc_id", F.explode(F.array(T.words(F.col("text")))).alias("w")).select("doc_id", F.explode(T.word_runs("w")).alias("phrase"))
+    dense = docs.select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(r"[\x{3400}-\x{9FFF}]{3,}"), F.lit(0))).alias("s")).select("doc_id", F.explode(T.dense_runs("s")).alias("phrase"))
+    forms = table(spark, d, "entities").filter("name is not null").select("uid", F.explode(T.name_forms(F.col("name"))).alias("form"))
+    names = forms.select("uid", F.array_join(T.words(F.col("form")), " ").alias("phrase")).filter(F.col("phrase").contains(" ") | F.col("phrase").rlike(r"^[\x{3400}-\x{9FFF}]{3,8}$")).distinct()
+    found = said.unionByName(dense).join(names, "phrase").select("uid", "doc_id").distinct()
+    return found.groupBy("uid").agg(F.count("*").alias("documents"), F.min("doc_id").alias("first_doc"))
+
+
 @query("select coalesce(source, 'all') as source, case when relevant is null then 'waiting' when not relevant then 'declined' when duplicate_of is not null then 'copy' when fetch_attempts >= 3 then 'failed' else 'ready' end as outcome, count(*) as n, count(distinct id) as articles from articles group by all")
 def funnel(spark, d):
     a = table(spark, d, "articles")

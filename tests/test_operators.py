@@ -74,3 +74,15 @@ def test_entry_and_names():
     import __spark_entry__ as e
 
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_gazetteer_of_forms_and_ideographs(spark, tmp_path):
+    import __spark_entry__ as entry
+
+    texts = [(1, "昨日海城电影会开幕"), (2, "So said Zurn Norrlelk of the Harbour Union."), (3, None), (4, "海城 电影"), (5, "met Norrlelk Zurn, Kexglun Film")]
+    names = [("u1", "海城电影会"), ("u2", "Norrlelk, Zurn"), ("u3", "Harbour Union (Northern)"), ("u4", "Dr. Kexglun Film"), ("u5", "海城"), ("u6", None)]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(names, "uid string, name string").write.parquet(f"{tmp_path}/entities.parquet")
+    got = {tuple(r) for r in entry.queries()["gazetteer_forms"](spark, str(tmp_path)).collect()}
+    assert got == {("u1", 1, 1), ("u2", 2, 2), ("u3", 1, 2), ("u4", 1, 5)}
+    assert {tuple(r) for r in entry.queries()["gazetteer"](spark, str(tmp_path)).collect()} == {("u2", 1, 5)}
