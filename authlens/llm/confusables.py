@@ -28,8 +28,8 @@ SIGNS = ((0x2E80, 0x2FDF), (0x2460, 0x24FF), (0x3200, 0x33FF), (0x1F100, 0x1F2FF
 #: Characters that cannot be seen though their category is not Cf.
 UNSEEN = {0x034F, 0x115F, 0x1160, 0x17B4, 0x17B5, 0x3164, 0xFFA0, 0x2800, *range(0xFE00, 0xFE10), *range(0x180B, 0x180F), *range(0xE0100, 0xE01F0)}
 SPACES = ("Zs", "Zl", "Zp")
-#: Java pattern of texts that need a look: anything but ASCII, composed Latin letters, ideographs and typographic marks.
-PLAIN = r"^[\x20-\x7E\x{A1}-\x{AC}\x{AE}-\x{17F}\x{2010}-\x{2027}\x{2030}-\x{203A}\x{3001}-\x{303F}\x{4E00}-\x{9FFF}\x{FF01}-\x{FF0F}\x{FF1A}-\x{FF20}]*$"
+#: Java pattern of texts that need a look: anything but ASCII, composed Latin letters, ideographs and typographic marks; compatibility forms among them are left out.
+PLAIN = r"^[\x20-\x7E\x{A1}-\x{A9}\x{AB}\x{AC}\x{AE}-\x{B1}\x{B4}\x{B6}-\x{B8}\x{BB}\x{BF}-\x{131}\x{134}-\x{13E}\x{141}-\x{148}\x{14A}-\x{17E}\x{2010}-\x{2027}\x{2030}-\x{203A}\x{3001}-\x{3035}\x{3037}\x{303B}-\x{303F}\x{4E00}-\x{9FFF}\x{FF01}-\x{FF0F}\x{FF1A}-\x{FF20}]*\z"
 
 
 @lru_cache(65536)
@@ -114,7 +114,7 @@ def with_forms(df: DataFrame, value: str) -> DataFrame:
     plain = F.col(value).isNull() | F.col(value).rlike(PLAIN)
     odd = df.filter(~plain).withColumn("_f", forms_of(value)).select(*df.columns, "_f.clean", "_f.skeleton", "_f.needed")
     # a plain value may hold composed letters, which the skeleton takes apart
-    bare = F.col(value).isNull() | F.col(value).rlike(r"^[\x20-\x7E]*$")
+    bare = F.col(value).isNull() | F.col(value).rlike(r"^[\x20-\x7E]*\z")
     easy = df.filter(plain & bare).select("*", F.col(value).alias("clean"), F.col(value).alias("skeleton"), F.lit(False).alias("needed"))
     rest = df.filter(plain & ~bare).withColumn("_f", forms_of(value)).select(*df.columns, "_f.clean", "_f.skeleton", F.lit(False).alias("needed"))
     return odd.unionByName(easy).unionByName(rest)

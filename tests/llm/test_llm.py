@@ -225,3 +225,10 @@ def test_the_tenth_of_many_namesakes_is_found(spark):
     ents = [(f"u{i}", "Zurnleln Norrlelk", "PERSON", None, {"Occupation": "Editor" if i == 19 else "Potter"}, True) for i in range(10, 30)]
     said = [(1, 5, "Zurnleln Norrlelk", None, "PERSON", {"Job": "Editor"}, dt.datetime(2026, 1, 1))]
     assert {r.extracted_id: r.uid for r in matching.match(spark.createDataFrame(said, EXT), spark.createDataFrame(ents, ENT)).collect()} == {1: "u19"}
+
+
+def test_no_plain_character_stands_in_for_another(spark):
+    rows = spark.createDataFrame([(f"a{chr(c)}",) for c in range(0x21, 0x3100) if not 0xD800 <= c < 0xE000], "v string")
+    got = {r.v: r.needed for r in confusables.with_forms(rows, "v").collect()}
+    assert [v for v, n in got.items() if n != confusables.needs(v)] == []
+    assert got["a²"] and got["aſ"] and not got["aé"]
