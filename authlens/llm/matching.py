@@ -2,16 +2,18 @@
 
 Sorted neighbourhood: both sides are sorted by several composite keys, each mention is compared with the records
 that stand next to it, fields are weighed by kind, and of the matches of one article each record goes to one
-written name, the best pairs first.
+written name so that the total confidence is as large as can be.
 """
 
 from __future__ import annotations
 
+import json
 import math
 import re
 from collections.abc import Iterator
 
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,6 +33,10 @@ FIELD = {
 #: What a field that agrees adds to the name's similarity, and what one that does not takes off.
 GAIN = {"born": (0.16, 0.22), "job": (0.07, 0.10), "org": (0.16, 0.05), "nation": (0.03, 0.10), "year": (0.12, 0.16), "post": (0.18, 0.15), "street": (0.18, 0.12), "host": (0.14, 0.14)}
 COMMON_SHARE = 0.0005
+#: Words of a description's beginning that may be another name of the occupation.
+LEAD = 4
+#: The step of a bid: the assignment's total is at most this a written name below the largest there is.
+BID = 0.01
 
 
 def facts(fields, year: int | None = None) -> dict[str, str]:
@@ -91,7 +97,8 @@ def agreement(a: dict[str, str], b: dict[str, str], jobs: dict[str, str] | None
             if w is None and not text:
                 continue
             known = [y.strip() for y in (w or "").lower().split("|") if y.strip()]
-            said = (jobs or {}).get(text.partition(" with ")[0].strip())
+            lead = text.split()[:LEAD]
+            said = next((jobs[h] for i in range(len(lead), 0, -1) if (h := " ".join(lead[:i])) in jobs), None) if jobs else None
             same = 1.0 if any(x == y or x in y or y in x or near(x, y) for y in [*known, *([said] if said else [])]) or (x and text.startswith(x)) else 0.0 if known or said else 0.5
         else:
             s = _lists(v, w)
@@ -113,7 +120,7 @@ def sort_keys(kind: str, name: str, given: dict[str, str]) -> list[str]:
     keys = [f"{k}1{' '.join(sorted(p, key=lambda w: (-len(w), w)))}", f"{k}2{''.join(p)[::-1]}", f"{k}3{''.join(p)}"]
     if not DENSE.search(joined):
         keys.append(f"{k}4{' '.join(sorted((w[0] + re.sub('[aeiou]', '', w[1:]) for w in p if len(w) > 1), key=lambda w: (-len(w), w)))}")
-        for w in sorted({w for w in p if len(w) > 2}, key=lambda w: (-len(w), w))[:4] if k in ("PER", "ORG") else ():
+        for w in sorted({w for w in p if len(w) > 2}):
             keys.append(f"{k}5{w} {''.join(sorted(x[0] for x in p if x != w))}")
     first = min(p)[0]
     for kind_, v in given.items():
@@ -124,18 +131,36 @@ def sort_keys(kind: str, name: str, given: dict[str, str]) -> list[str]:
     return keys
 
 
-def _expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _bits(words: tuple[str, ...]) -> tuple[int, int]:
+    """128 bits, one for each pair of neighbouring letters of a name's words; a letter that begins a word counts as a pair."""
+    out = [0, 0]
+    for w in words:
+        for g in ("^" + w[0], *(w[i : i + 2] for i in range(len(w) - 1))):
+            h = xxhash.xxh64_intdigest(g)
+            out[h & 1] |= 1 << ((h >> 1) & 63)
+    return tuple(x - (1 << 64) if x >> 63 else x for x in out)
+
+
+def _features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One row a written name: its words, their bits and initials, its sort keys, and the record's facts as JSON."""
     for b in batches:
         rows = []
         for side, rid, kind, names, fields, year in b[["side", "rid", "kind", "names", "fields", "year"]].itertuples(index=False, name=None):
             given = facts(fields, None if pd.isna(year) else int(year))
+            told = json.dumps(given, ensure_ascii=False)
             seen: set[str] = set()  # a record stands once at a key, whatever the number of its names
             for place, name in enumerate(written(names)):
-                for key in sort_keys(kind, name, given):
-                    if key not in seen:
-                        seen.add(key)
-                        rows.append((side, rid, place, key))
-        yield pd.DataFrame(rows, columns=["side", "rid", "n", "key"])
+                words = parts(name)
+                if not words:
+                    continue
+                keys = [k for k in sort_keys(kind, name, given) if k not in seen]
+                seen.update(keys)
+                one, two = _bits(words)
+                rows.append((side, rid, place, kind, " ".join(words), one, two, "".join(w[0] for w in words), told, keys))
+        yield pd.DataFrame(rows, columns=["side", "rid", "n", "kind", "words", "b1", "b2", "initials", "facts", "keys"])
+
+
+FEATURES = "side int, rid long, n int, kind string, words string, b1 long, b2 long, initials string, facts string, keys array<string>"
 
 
 def _number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -150,10 +175,10 @@ def _number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def neighbours(rows: DataFrame, tmp: Scratch, width: int = 5, parts_: int | None = None) -> DataFrame:
-    """Pairs (mention, record, n: which of the record's names) of one key, whatever their number, or within ``width`` records before and after those of the mention's key.
+    """Different pairs (mention, record, n: which of the record's names) of one key, whatever their number, or within ``width`` records before and after those of the mention's key.
 
-    ``rows``: side (0 mention, 1 record), rid, n, key. Rows are range-partitioned and sorted by key, records are numbered in that order
-    over all parts (the offsets of the parts are the only thing the driver holds), and each mention is joined with the numbers around its place; windows so run over part limits.
+    ``rows``: side (0 mention, 1 record), rid LONG, n, key. Rows are range-partitioned and sorted by key, records are numbered in that order
+    over all parts (the number of records of each part is the only thing the driver holds), and each mention is joined with the numbers around its place; windows so run over part limits.
     A mention stands before the records of its key, so its window reaches over as many as there are and ``width`` more; numbers spread the join, a crowded key's too.
     """
     spark = rows.sparkSession
@@ -161,17 +186,17 @@ def neighbours(rows: DataFrame, tmp: Scratch, width: int = 5, parts_: int | None
     equal = rows.filter("side = 1").groupBy("key").agg(F.count("*").alias("equal"))
     rows = rows.join(equal, "key", "left").withColumn("equal", F.coalesce("equal", F.lit(0)))
     ordered = rows.repartitionByRange(n, "key", "side", "rid").sortWithinPartitions("key", "side", "rid")
-    placed = tmp.keep(ordered.mapInPandas(_number, "side int, rid string, n int, equal long, part int, place long"), "placed")
+    placed = tmp.keep(ordered.mapInPandas(_number, "side int, rid long, n int, equal long, part int, place long"), "placed")
     sizes = sorted((r["part"], r["n"]) for r in placed.filter("side = 1").groupBy("part").agg(F.count("*").alias("n")).collect())
-    before, offset = 0, {}
-    for part, size in sizes:
-        offset[part] = before
-        before += size
-    every = {p: sum(s for q, s in sizes if q < p) for p in range(n)}
-    table = F.create_map(*[F.lit(x) for p in range(n) for x in (p, every[p])])
-    placed = placed.withColumn("place", F.col("place") + table[F.col("part")])
+    had = dict(sizes)
+    offsets, before = [], 0
+    for part in range(n):
+        offsets.append((part, before))
+        before += had.get(part, 0)
+    offset = F.broadcast(spark.createDataFrame(offsets, "part int, _before long"))
+    placed = placed.join(offset, "part").withColumn("place", F.col("place") + F.col("_before"))
     records = placed.filter("side = 1").select("place", F.col("rid").alias("record"), "n")
-    mentions = placed.filter("side = 0").select(F.col("rid").cast("long").alias("mention"), F.explode(F.sequence(F.col("place") - width + 1, F.col("place") + F.col("equal") + width)).alias("place"))
+    mentions = placed.filter("side = 0").select(F.col("rid").alias("mention"), F.explode(F.sequence(F.col("place") - width + 1, F.col("place") + F.col("equal") + width)).alias("place"))
     return mentions.join(records, "place").select("mention", "record", "n").distinct()
 
 
@@ -194,37 +219,27 @@ def match(mentions: DataFrame, records: DataFrame, width: int = 5, floor: float
             F.min_by("entity_type", F.struct(F.col("uid") != F.col("root"), "uid")).alias("kind"),
             F.collect_set(F.when(F.trim("name") != "", F.col("name"))).alias("names"),
             F.array_distinct(F.flatten(F.collect_list(own))).alias("fields"),
-        ),
+        ).withColumn("rid", F.xxhash64("root")),
         "things",
     )
-    # mentions that say the same are one
+    # mentions that say the same are one; 64 bits tell them apart: at a thousand million different mentions the odds of any two meeting are a few in a hundred
     m = mentions.select(
         "id", F.coalesce("article_id", -F.col("id")).alias("article_id"), F.col("entity_type").alias("kind"), F.year("created_at").cast("int").alias("year"),
         F.array_distinct(F.filter(F.array("entity_name", "entity_name_en"), lambda x: F.trim(x) != "")).alias("names"), own.alias("fields"),
     ).filter("size(names) > 0")
-    m = m.withColumn("rid", F.xxhash64(F.to_json(F.struct("kind", "year", "names", "fields"))))
-    m = tmp.keep(m, "mentions")
-    # 64 bits tell them apart: at a thousand million different mentions the odds of any two meeting are a few in a hundred
+    m = tmp.keep(m.withColumn("rid", F.xxhash64(F.to_json(F.struct("kind", "year", "names", "fields")))), "mentions")
+    shape = "array<struct<key: string, value: string>>"
     said = m.groupBy("rid").agg(F.first("kind").alias("kind"), F.first("year").alias("year"), F.first("names").alias("names"), F.first("fields").alias("fields"))
-    shape = "struct<key: string, value: string>"
-    both = said.select(F.lit(0).alias("side"), F.col("rid").cast("string").alias("rid"), "kind", "names", F.col("fields").cast(f"array<{shape}>"), "year").unionByName(
-        things.select(F.lit(1).alias("side"), F.col("root").alias("rid"), "kind", "names", F.col("fields").cast(f"array<{shape}>"), F.lit(None).cast("int").alias("year"))
+    both = said.select(F.lit(0).alias("side"), "rid", "kind", "names", F.col("fields").cast(shape), "year").unionByName(
+        things.select(F.lit(1).alias("side"), "rid", "kind", "names", F.col("fields").cast(shape), F.lit(None).cast("int").alias("year"))
     )
-    keys = spread(both).mapInPandas(_expand, "side int, rid string, n int, key string")
-    pairs = neighbours(keys, tmp, width)
+    features = tmp.keep(spread(both).mapInPandas(_features, FEATURES), "features")
+    pairs = neighbours(features.select("side", "rid", "n", F.explode("keys").alias("key")), tmp, width)
     # words of more than a two-thousandth of all names weigh less; there are few of them whatever the number of names
-    words = things.select(F.explode("names").alias("n")).unionAll(said.select(F.explode("names").alias("n")))
-    total = max(words.count(), 1)
-    parts_of = F.pandas_udf(lambda s: pd.Series([list(parts(x)) for x in s], dtype=object), "array<string>")
-    often = spread(words).select(F.explode(parts_of("n")).alias("w")).groupBy("w").agg(F.count("*").alias("n")).filter(F.col("n") >= max(COMMON_SHARE * total, 2)).collect()
+    total = max(features.count(), 1)
+    often = features.select(F.explode(F.split("words", " ")).alias("w")).groupBy("w").agg(F.count("*").alias("n")).filter(F.col("n") >= max(COMMON_SHARE * total, 2)).collect()
     common = spark.sparkContext.broadcast({r["w"]: r["n"] / total for r in often})
-
-    # what descriptions call an occupation; pairs of fewer than one record in two thousand are no usage, so there are few
-    told = live.select(F.lower(F.trim(F.col("fields")["Occupation"])).alias("job"), F.lower(F.trim(F.split(F.col("fields")["Description"], " with ")[0])).alias("word")).filter("job <> '' and word <> ''")
-    uses = told.groupBy("word", "job").agg(F.count("*").alias("n"))
-    n_told = told.count()
-    uses = uses.filter(F.col("n") >= max(COMMON_SHARE * n_told, 2)).orderBy("n", F.col("job").desc()).collect()
-    jobs = spark.sparkContext.broadcast({r["word"]: r["job"] for r in uses})
+    jobs = spark.sparkContext.broadcast(_occupations(live))
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         most = -math.log(COMMON_SHARE)
@@ -232,53 +247,76 @@ def match(mentions: DataFrame, records: DataFrame, width: int = 5, floor: float
         weight = lambda w: min(most, -math.log(shares[w])) if w in shares else most
         for b in batches:
             rows = []
-            for mention, record, n, mnames, rnames, mf, rf, year in b.itertuples(index=False, name=None):
-                best, q = 0.0, parts(written(rnames)[n])
-                for x in written(mnames):
-                    p = parts(x)
-                    if p and q:
-                        best = max(best, similarity(p, q, weight))
-                if best < near_name:
-                    continue
-                add, yes, no = agreement(facts(mf, None if pd.isna(year) else int(year)), facts(rf), jobs.value)
-                rows.append((mention, record, best, best + add, yes, no))
-            yield pd.DataFrame(rows, columns=["rid", "uid", "name_like", "score", "agree", "differ"])
-
-    full = (
-        pairs.join(said.select(F.col("rid").alias("mention"), F.col("names").alias("mnames"), F.col("fields").alias("mf"), "year", "kind"), "mention")
-        .join(things.select(F.col("root").alias("record"), F.col("names").alias("rnames"), F.col("fields").alias("rf"), F.col("kind").alias("rkind")), "record")
-        .filter(F.col("kind").isNull() | F.col("rkind").isNull() | (F.col("kind") == F.col("rkind")))
-        .select("mention", "record", "n", "mnames", "rnames", "mf", "rf", "year")
-    )
-    scored = full.mapInPandas(score, "rid long, uid string, name_like double, score double, agree int, differ int")
-    scored = tmp.keep(scored.groupBy("rid", "uid").agg(F.max("score").alias("score"), F.max("agree").alias("agree")), "scored")
+            for mention, record, left, right, mf, rf in b[["mention", "record", "mwords", "rwords", "mf", "rf"]].itertuples(index=False, name=None):
+                like = similarity(tuple(left.split(" ")), tuple(right.split(" ")), weight)
+                if like >= near_name:
+                    add, yes, _ = agreement(json.loads(mf), json.loads(rf), jobs.value)
+                    rows.append((mention, record, like + add, yes))
+            yield pd.DataFrame(rows, columns=["rid", "record", "score", "agree"])
+
+    # pairs of names that cannot be half alike are told by their letter pairs, in the JVM: both names' bits ride along, words and facts are fetched for the rest
+    side = lambda k, p: features.filter(F.col("side") == k).select(F.col("rid").alias("mention" if k == 0 else "record"), *([F.col("n").alias("mn")] if k == 0 else ["n"]), *[F.col(c).alias(f"{p}{c}") for c in ("kind", "b1", "b2", "initials")])
+    near_ = pairs.join(side(0, "m"), "mention").join(side(1, "r"), ["record", "n"]).filter(F.col("mkind").isNull() | F.col("rkind").isNull() | (F.col("mkind") == F.col("rkind")))
+    bits = lambda f: F.bit_count(f("b1")) + F.bit_count(f("b2"))
+    shared = bits(lambda c: F.col(f"m{c}").bitwiseAND(F.col(f"r{c}")))
+    fewer = F.least(bits(lambda c: F.col(f"m{c}")), bits(lambda c: F.col(f"r{c}")))
+    # an acronym shares few letter pairs with what it stands for
+    spelt = F.col("rinitials").startswith(F.left("minitials", F.lit(1))) & (F.length("rinitials") > 2) & (F.length("minitials") < 3)
+    near_ = near_.filter((shared >= 0.5 * fewer) | spelt).select("mention", "record", "mn", "n")
+    text = lambda k, p: features.filter(F.col("side") == k).select(F.col("rid").alias("mention" if k == 0 else "record"), *([F.col("n").alias("mn")] if k == 0 else ["n"]), F.col("words").alias(f"{p}words"), F.col("facts").alias(f"{p}f"))
+    full = tmp.keep(near_, "pairs").join(text(0, "m"), ["mention", "mn"]).join(text(1, "r"), ["record", "n"])
+    scored = full.mapInPandas(score, "rid long, record long, score double, agree int").groupBy("rid", "record").agg(F.max("score").alias("score"), F.max("agree").alias("agree"))
+    scored = tmp.keep(scored.filter(F.col("score") >= floor).join(things.select(F.col("rid").alias("record"), F.col("root").alias("uid")), "record").select("rid", "uid", "score", "agree"), "scored")
+    for done in ("placed", "pairs", "features"):
+        tmp.drop(done)
     return assign(m, scored, tmp, floor, margin)
 
 
-def assign(mentions: DataFrame, scored: DataFrame, tmp: Scratch, floor: float, margin: float) -> DataFrame:
-    """Of each article, every written name gets one thing and every thing one written name, the best pairs first.
+def _occupations(live: DataFrame) -> dict[str, str]:
+    """What descriptions call an occupation: the longest beginning that stands with one occupation in most of its uses. Beginnings of fewer than one record in two thousand are no usage, so there are few."""
+    told = live.select(F.lower(F.trim(F.col("fields")["Occupation"])).alias("job"), F.slice(F.split(F.lower(F.trim(F.col("fields")["Description"])), r"\s+"), 1, LEAD).alias("w")).filter("job <> '' and size(w) > 0 and w[0] <> ''")
+    heads = told.select("job", F.explode(F.transform(F.sequence(F.lit(1), F.size("w")), lambda i: F.array_join(F.slice("w", F.lit(1), i), " "))).alias("head"))
+    uses = heads.groupBy("head", "job").agg(F.count("*").alias("n"))
+    best = uses.groupBy("head").agg(F.sum("n").alias("all"), F.max(F.struct("n", "job")).alias("m"))
+    found = best.filter((F.col("all") >= max(COMMON_SHARE * told.count(), 2)) & (F.col("m.n") >= 0.6 * F.col("all"))).select("head", "m.job").collect()
+    return {r["head"]: r["job"] for r in found}
+
+
+def assign(mentions: DataFrame, scored: DataFrame, tmp: Scratch, floor: float, margin: float, bid: float = BID) -> DataFrame:
+    """Of each article, every written name gets one thing and every thing one written name, so that the total confidence is the largest there is, less at most ``bid`` a name.
 
-    Written names that are one name (the same words in any order) and mentions repeated under other ids go together. All pairs of at least ``floor`` stand in one
-    strict order: scores in steps of ``margin``, agreeing fields, score, uid, name. A pair that is the best of both its
-    sides is taken, its sides leave, and so on until no pair is left, which is the same as taking the article's pairs in that order. Few articles need a second turn.
+    Written names that are one name (the same words in any order) and mentions repeated under other ids go together. What a pair is worth is its
+    score above ``floor`` in steps of ``margin``, then agreeing fields, then the score itself. Things are auctioned: every name without a thing bids for the one
+    worth most to it at the present prices, as much as makes it worth ``bid`` less than the next best (or none); the highest bid takes the thing, whoever held it bids again. A
+    name to which nothing is worth its price gets none. Each turn reads only the pairs of names that bid, and no group of an article is held in one place. Of equal bids the smaller name's wins.
     """
     words_of = F.pandas_udf(lambda s: pd.Series([" ".join(sorted(parts(x[0]))) for x in s]), "string")
-    name = mentions.select("rid", "article_id", words_of("names").alias("said")).distinct()
-    rank = F.struct(F.round(F.col("score") / margin).alias("step"), "agree", "score")
-    edges = scored.filter(F.col("score") >= floor).join(name, "rid").groupBy("article_id", "said", "uid").agg(F.max(rank).alias("rank"))
-    edges = tmp.keep(edges, "edges0")
-    taken: DataFrame | None = None
-    turn = 0
-    while taken is None or not edges.isEmpty():
+    ids = tmp.keep(mentions.select("id", "rid", "article_id", words_of("names").alias("said")), "said")
+    worth = F.round((F.col("score") - floor) / margin) * margin + F.least("agree", F.lit(9)) * (margin / 10) + F.col("score") * (margin / 100) + bid
+    e = scored.join(ids.select("rid", "article_id", "said").distinct(), "rid").groupBy("article_id", "said", "uid").agg(F.max(worth).alias("worth"), F.max("score").alias("score"))
+    e = tmp.keep(e.withColumn("name", F.xxhash64("article_id", "said")).withColumn("thing", F.xxhash64("article_id", "uid")), "edges")
+    slim = e.select("name", "thing", "worth")
+    held = e.select("thing", F.lit(0.0).alias("price"), "name").filter(F.lit(False))
+    waiting, turn = None, 0
+    while True:
         turn += 1
-        order = [F.col("rank").desc(), "uid", "said"]
-        a, b = Window.partitionBy("article_id", "said").orderBy(*order), Window.partitionBy("article_id", "uid").orderBy(*order)
-        best = edges.withColumn("_a", F.row_number().over(a)).withColumn("_b", F.row_number().over(b)).filter("_a = 1 and _b = 1")
-        best = tmp.keep(best.select("article_id", "said", "uid", F.col("rank.score").alias("score")), f"taken{turn}")
-        taken = best if taken is None else taken.unionByName(best)
-        edges = tmp.keep(edges.join(best.select("article_id", "said"), ["article_id", "said"], "left_anti").join(best.select("article_id", "uid"), ["article_id", "uid"], "left_anti"), f"edges{turn}")
-        tmp.drop(f"edges{turn - 1}")
-    ids = mentions.select("id", "rid", "article_id", words_of("names").alias("said"))
+        open_ = slim if waiting is None else slim.join(waiting, "name", "left_semi")
+        value = F.col("worth") - F.coalesce("price", F.lit(0.0))
+        now = open_.join(held.select("thing", "price"), "thing", "left").withColumn("value", value).filter("value > 0")
+        order = Window.partitionBy("name").orderBy(F.col("value").desc(), "thing")
+        two = now.withColumn("_n", F.row_number().over(order)).filter("_n <= 2")
+        first, second = F.when(F.col("_n") == 1, F.struct("thing", "worth")), F.max(F.when(F.col("_n") == 2, F.col("value")))
+        bids = two.groupBy("name").agg(F.max(first).alias("m"), F.coalesce(second, F.lit(0.0)).alias("v2"))
+        bids = tmp.keep(bids.select("name", "m.thing", (F.col("m.worth") - F.col("v2") + bid).alias("price")), f"bids{turn}")
+        if bids.isEmpty():
+            break
+        won = bids.groupBy("thing").agg(F.max("price").alias("price"), F.max_by("name", F.struct("price", -F.col("name"))).alias("name"))
+        lost = bids.select("name").join(won.select("name"), "name", "left_anti").unionByName(held.join(won.select("thing"), "thing", "left_semi").select("name"))
+        waiting = tmp.keep(lost, f"lost{turn}")
+        held = tmp.keep(held.join(won.select("thing"), "thing", "left_anti").unionByName(won), f"held{turn}")
+        for old in (f"bids{turn}", f"lost{turn - 1}", f"held{turn - 1}"):
+            tmp.drop(old)
+    taken = e.join(held.select("thing", "name"), ["thing", "name"]).select("article_id", "said", "uid", "score")
     return ids.join(taken, ["article_id", "said"]).select(F.col("id").alias("extracted_id"), "uid", F.least(F.col("score"), F.lit(1.0)).alias("confidence"))
 
 

@@ -64,8 +64,9 @@ def near(a: str, b: str) -> float:
         return 0.75 if b[0] == a else 0.0
     if n - m <= 2 and n >= 4:
         most = 1 if n < 8 else 2
-        if slips(a, b, most) <= most:
-            return 0.9 if slips(a, b, 1) <= 1 else 0.8
+        found = slips(a, b, most)
+        if found <= most:
+            return 0.9 if found <= 1 else 0.8
     if a[0] == b[0] and m < n and m <= 0.75 * n:
         it = iter(b)
         if b.startswith(a) or all(c in it for c in a) and (not set(a[1:]) & set("aeiou") or (m >= 3 and a[-1] == b[-1] and n >= 7)):
@@ -77,6 +78,22 @@ def slips(a: str, b: str, most: int) -> int:
     """Edits between two words, neighbours swapped counting as one; more than ``most`` is ``most + 1``."""
     if abs(len(a) - len(b)) > most:
         return most + 1
+    # what both begin and end with needs no edit
+    i, m, n = 0, len(a), len(b)
+    while i < m and i < n and a[i] == b[i]:
+        i += 1
+    while m > i and n > i and a[m - 1] == b[n - 1]:
+        m, n = m - 1, n - 1
+    a, b = a[i:m], b[i:n]
+    if not a or not b:
+        return min(len(a) + len(b), most + 1)
+    if len(a) == 2 == len(b) and a[0] == b[1] and a[1] == b[0]:
+        return 1
+    if len(a) == 1 == len(b):
+        return 1
+    # what is left begins and ends differently, so one edit cannot do; each letter that the other lacks needs an edit
+    if most < 2 or len(set(a) - set(b)) > most or len(set(b) - set(a)) > most:
+        return most + 1
     before, row = [], list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
         older, before, row = before, row, [i]
@@ -121,7 +138,7 @@ def similarity(a: tuple[str, ...], b: tuple[str, ...], weight, extra_a: float =
             total += w
         else:
             # two words written as one
-            joined = next(((p, q) for p in free for q in free if p != q and len(x) >= 6 and near(x, p + q) >= 0.9), None)
+            joined = next(((p, q) for p in free for q in free if p != q and abs(len(p) + len(q) - len(x)) < 2 and near(x, p + q) >= 0.9), None) if len(x) >= 6 else None
             if joined:
                 for p in joined:
                     free.remove(p)
@@ -169,7 +186,7 @@ def compatible(kind: str, a: tuple[str, ...], b: tuple[str, ...], common) -> boo
             firm += len(w) > 1 and len(best) > 1
     for one, other in ((left, right), (right, left)):
         for w in [w for w in one if len(w) >= 6]:
-            pair = next(((p, q) for p in other for q in other if p is not q and near(w, p + q) >= 0.9), None)
+            pair = next(((p, q) for p in other for q in other if p is not q and abs(len(p) + len(q) - len(w)) < 2 and near(w, p + q) >= 0.9), None)
             if pair:
                 one.remove(w)
                 for p in pair:

@@ -154,12 +154,12 @@ def test_cosine_join_finds_what_brute_force_finds(spark):
 
     g = {k: variants.grams(k.partition("|")[2]) for k in keys}
     df = collections.Counter(x for v in g.values() for x in v)
-    w = {x: max(1, int((math.log((1 + len(keys)) / c) + 0.05) ** 2 * 16 + 0.5)) for x, c in df.items()}
+    w = {x: max(1, int((math.log((1 + len(keys)) / c) + 0.05) ** 2 * 8 + 0.5)) for x, c in df.items()}
     want = 0
     for i, a in enumerate(keys):
         for b in keys[i + 1:]:
             dot = sum(w[x] for x in set(g[a]) & set(g[b])) / math.sqrt(sum(w[x] for x in g[a]) * sum(w[x] for x in g[b]))
-            want += dot >= 0.58 and names.compatible("PERSON", tuple(a.split("|")[1].split()), tuple(b.split("|")[1].split()), set())
+            want += dot >= 0.5 and names.compatible("PERSON", tuple(a.split("|")[1].split()), tuple(b.split("|")[1].split()), set())
     assert abs(len(got) - want) <= 1 and want > 30
 
 
@@ -216,9 +216,33 @@ def test_assignment_goes_on_while_a_mention_and_a_thing_are_free(spark):
 def test_every_record_of_an_equal_key_is_compared(spark):
     from authlens.scratch import Scratch
 
-    rows = [(0, "1", 0, "k5")] + [(1, f"r{i:02}", 0, "k5") for i in range(20)] + [(1, f"{s}{i}", 0, f"k{s}{i}") for s in "19" for i in range(9)]
-    got = {r.record for r in matching.neighbours(spark.createDataFrame(rows, "side int, rid string, n int, key string"), Scratch(spark, "t")).collect()}
-    assert got == {f"r{i:02}" for i in range(20)} | {f"1{i}" for i in range(4, 9)} | {f"9{i}" for i in range(5)}
+    rows = [(0, 1, 0, "k5")] + [(1, 100 + i, 0, "k5") for i in range(20)] + [(1, (200 if s == "1" else 300) + i, 0, f"k{s}{i}") for s in "19" for i in range(9)]
+    got = {r.record for r in matching.neighbours(spark.createDataFrame(rows, "side int, rid long, n int, key string"), Scratch(spark, "t")).collect()}
+    assert got == {100 + i for i in range(20)} | {200 + i for i in range(4, 9)} | {300 + i for i in range(5)}
+
+
+def test_the_total_counts_not_the_best_pair(spark):
+    # taking anna's best first would leave bert with nothing
+    assert assigned(spark, [("anna", "x", 0.95, 0), ("anna", "y", 0.94, 0), ("bert", "x", 0.94, 0)]) == {"anna": "y", "bert": "x"}
+
+
+def test_total_of_brute_force(spark):
+    import itertools
+
+    rng = random.Random(7)
+    names_, things = ["anna", "bert", "cleo", "dora"], ["w", "x", "y", "z"]
+    edges = [(n, t, 0.76 + 0.03 * rng.randrange(1, 9), 0) for n in names_ for t in things if rng.random() < 0.8]
+    worth = {(n, t): s for n, t, s, _ in edges}
+    got = assigned(spark, edges)
+    # a pair counts what it is above the floor, so more pairs and better pairs both count
+    best = max(sum(worth[p] - 0.76 for p in zip(names_, order) if p in worth) for order in itertools.permutations([*things, *"____"], 4))
+    assert sum(worth[p] - 0.76 for p in got.items()) >= best - 4 * (matching.BID + 0.001)
+
+
+def test_a_short_name_of_two_people_joins_none_of_their_names(spark):
+    rows = [(None, "t1", 1, 0), (None, "t1", 2, 0), (None, "t2", 2, 0), (None, "t2", 3, 0), (7, None, 4, 0), (7, None, 1, 1), (8, None, 4, 0), (8, None, 3, 1), (9, None, 4, 0), (9, None, 3, 1)]
+    got = variants._own_names(spark.createDataFrame(rows, "mention long, thing string, id long, n int"))
+    assert {(r.a, r.b) for r in got.collect()} == {(4, 3)}
 
 
 def test_the_tenth_of_many_namesakes_is_found(spark):
