@@ -2,22 +2,38 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import html
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
+
+from .names import WS, fold
 
 
 def strip_tags(c: Column) -> Column:
     return F.nullif(F.trim(F.regexp_replace(c, "<[^>]*>", "")), F.lit(""))
 
 
+# Outlets whose host has a code, and what stays in an outlet's address when it is changed.
+OUTLET_ENDS = (("channelnewsasia.com", "cna"), ("straitstimes.com", "st"))
+OUTLET_PARTS = (("zaobao", "zaobao"),)
+
+
 def outlet(url: Column) -> Column:
-    """Host without ``www.``, up to its first dot."""
-    host = F.regexp_extract(url, r"^https?://([^/]+)", 1)
-    return F.nullif(F.split(F.regexp_replace(host, r"^www\.", ""), r"\.")[0], F.lit(""))
+    """An outlet's code, else the host in lower case without ``www.``."""
+    host = F.regexp_replace(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)), r"^www\.", "")
+    out = F
+    for end, code in OUTLET_ENDS:
+        out = out.when(host.endswith(end), code)
+    for part, code in OUTLET_PARTS:
+        out = out.when(host.contains(part), code)
+    return out.otherwise(host)
 
 
 def path(url: Column) -> Column:
-    return F.regexp_extract(url, r"^https?://[^/]+([^?#]*)", 1)
+    return F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
 
 
 def section(url: Column) -> Column:
@@ -26,33 +42,28 @@ def section(url: Column) -> Column:
 
 
 def story_key(url: Column) -> Column:
-    """Outlet and the trailing number of six digits or more, else the path."""
-    number = F.regexp_extract(path(url), r"(\d{6,})/?$", 1)
-    return F.concat(outlet(url), F.lit(":"), F.when(number != "", number).otherwise(path(url)))
+    """What stays the same when an outlet changes an article's address: its number, its story number or its last part, else the path."""
+    name, whole = outlet(url), F.regexp_replace(path(url), "/+$", "")
+    last = F.substring_index(whole, "/", -1)
+    number, story = F.regexp_extract(last, r"-([0-9]{6,})$", 1), F.regexp_extract(whole, r"(story[0-9]{8}-[0-9]+)", 1)
+    kept = F.when((name == "cna") & (number != ""), number).when((name == "zaobao") & (story != ""), story).when((name == "st") & (last != ""), last)
+    return F.concat(name, F.lit(":"), F.coalesce(kept, whole))
 
 
-def title_key(title: Column) -> Column:
-    """Entities undone, white space run together, lower case."""
-    t = title
-    for code, plain in (("&amp;", "&"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " ")):
-        t = F.replace(t, F.lit(code), F.lit(plain))
-    return F.lower(F.trim(F.regexp_replace(t, r"\s+", " ")))
-
+@F.pandas_udf(StringType())
+def _unescaped(s: pd.Series) -> pd.Series:
+    return s.map(lambda x: None if x is None else html.unescape(x))
 
-def plain(c: Column) -> Column:
-    """Quotes unified, lower case, spaces run together."""
-    return F.trim(F.regexp_replace(F.lower(F.translate(c, "‘’“”", "''\"\"")), " +", " "))
 
-
-def house(c: Column) -> Column:
-    """Key of a name in house style: no leading article, ``&`` as and, no possessives, punctuation as space."""
-    k = F.regexp_replace(plain(c), "^the ", "")
-    k = F.regexp_replace(F.replace(k, F.lit("&"), F.lit(" and ")), "'s ", " ")
-    return F.trim(F.regexp_replace(k, r"[^\p{L}\p{N}]+", " "))
+def title_key(title: Column) -> Column:
+    """Entities undone, white space run together, case folded. Only titles with an ampersand leave the JVM: :func:`with_title_key` parts them."""
+    return fold(F.trim(F.regexp_replace(title, WS + "+", " ")))
 
 
-def without_year(c: Column) -> Column:
-    return F.trim(F.regexp_replace(c, r"\(?\b(18|19|20)[0-9]{2}\b\)?", ""))
+def with_title_key(df: DataFrame, title: str, name: str) -> DataFrame:
+    """Adds :func:`title_key` of a column, named and numbered entities undone first."""
+    has = F.coalesce(F.col(title).contains("&"), F.lit(False))
+    return df.filter(~has).withColumn(name, title_key(F.col(title))).unionByName(df.filter(has).withColumn(name, title_key(_unescaped(F.col(title)))))
 
 
 def values(c: Column) -> Column:
@@ -60,9 +71,30 @@ def values(c: Column) -> Column:
     return F.filter(F.transform(F.split(c, r"\|"), lambda x: F.trim(x)), lambda x: x != "")
 
 
+# What may stand before a full stop that ends no sentence, and the number of sentences a description may have.
+ABBREVIATION = r"\b(Mr|Mrs|Ms|Dr|Prof|St|No|Co|Ltd|Pte|Inc|Jr|Sr|vs|approx)\."
+SENTENCE_LIMIT = 5
+
+
+def sentences(c: Column) -> Column:
+    """A text's sentences: split at white space between a closing mark and a capital, digit, quote or bracket, abbreviations aside."""
+    masked = F.regexp_replace(strip_white(F.coalesce(c, F.lit(""))), ABBREVIATION, "$1\u0001")
+    each = F.split(masked, rf"(?<=[.!?]){WS}+(?=[A-Z0-9\"'(])")
+    return F.transform(F.filter(each, lambda x: strip_white(x) != ""), lambda x: F.replace(x, F.lit("\u0001"), F.lit(".")))
+
+
+def strip_white(c: Column) -> Column:
+    return F.regexp_replace(c, f"^{WS}+|{WS}+$", "")
+
+
 def sentence_count(c: Column) -> Column:
-    """Runs of text closed by a full stop, question or exclamation mark before a space or the end."""
-    return F.size(F.filter(F.split(F.regexp_replace(c, r"([.!?])(\s|$)", "$1\u0001"), "\u0001"), lambda x: F.trim(x) != ""))
+    return F.size(sentences(c))
+
+
+def over_limit(old: Column, new: Column) -> Column:
+    """Whether a change takes a description past the limit of sentences: more than allowed and more than before."""
+    after = sentence_count(new)
+    return (after > SENTENCE_LIMIT) & (after > sentence_count(old))
 
 
 def token_estimate(c: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import outlet, story_key, title_key
+from ..functions.text import outlet, story_key, with_title_key
 from ..scratch import Scratch
 
 
@@ -31,19 +31,24 @@ def components(links: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def story_copies(articles: DataFrame, days: int = 2, recurring: int = 3) -> DataFrame:
-    """id, original: the first article (smallest id) each article retells.
+    """id, original: the first article each article retells.
 
-    Rule 1: one story key. Rule 2: one outlet and title within ``days`` of another, unless the title stands on ``recurring`` or more days.
-    Rows delivered twice are one; each article is linked to the one before it only, so a title or key of a third of all rows gives as many links as rows.
-    Null titles and dates fall under rule 1 alone.
+    Articles come in the order of their ids; rows delivered twice are one. An article of a story key seen before is a copy of the key's first article,
+    else one whose outlet and title an earlier article within ``days`` has, unless the outlet has used the title on ``recurring`` different days or more (no date is a day too), is a copy of the first such article.
+    What that one is a copy of is the original. Every article so has one pointer to an earlier one, and pointers are followed to their end; an article never joins two originals.
+    A key or title of a third of all rows is reduced to its first article, or to its different times, before anything is sorted. Null titles fall under the first rule alone.
     """
     a = articles.groupBy("id").agg(F.min("url").alias("url"), F.min("title").alias("title"), F.min(F.coalesce("pubdate", "created_at")).alias("ts"))
-    a = a.withColumn("key", story_key(F.col("url"))).withColumn("outlet", outlet(F.col("url"))).withColumn("t", title_key(F.col("title")))
-    same = a.filter("key is not null").groupBy("key").agg(F.min("id").alias("a"))
-    first = a.join(same, "key").select("a", F.col("id").alias("b"))
-    titled = a.filter("t <> '' and ts is not null")
-    used = titled.groupBy("outlet", "t").agg(F.countDistinct(F.to_date("ts")).alias("days")).filter(F.col("days") < recurring)
-    w = Window.partitionBy("outlet", "t").orderBy("ts", "id")
-    near = titled.join(used, ["outlet", "t"]).withColumn("a", F.lag("id").over(w)).withColumn("before", F.lag("ts").over(w))
-    second = near.filter((F.unix_micros("ts") - F.unix_micros("before")) <= days * 86_400_000_000).select("a", F.col("id").alias("b"))
-    return components(first.unionAll(second), a.select("id")).select("id", F.col("root").alias("original"))
+    a = with_title_key(a, "title", "t").withColumn("key", story_key(F.col("url"))).withColumn("outlet", outlet(F.col("url")))
+    keyed = a.filter("key is not null").groupBy("key").agg(F.min("id").alias("to"))
+    first = a.join(keyed, "key").filter("to < id").select("id", "to")
+    titled = a.filter("t <> '' and outlet is not null")
+    times = titled.groupBy("outlet", "t", "ts").agg(F.min("id").alias("low"))
+    day = F.coalesce(F.to_date("ts"), F.lit("0001-01-01").cast("date"))
+    used = times.groupBy("outlet", "t").agg(F.countDistinct(day).alias("days")).filter(F.col("days") < recurring)
+    span = days * 86_400_000_000
+    w = Window.partitionBy("outlet", "t").orderBy("us").rangeBetween(-span, span)
+    near = times.filter("ts is not null").join(used, ["outlet", "t"]).withColumn("us", F.unix_micros("ts")).withColumn("to", F.min("low").over(w)).select("outlet", "t", "ts", "to")
+    second = titled.join(near, ["outlet", "t", "ts"]).filter("to < id").select("id", "to")
+    links = second.join(first.select("id"), "id", "left_anti").unionByName(first)
+    return components(links.select(F.col("to").alias("a"), F.col("id").alias("b")), a.select("id")).select("id", F.col("root").alias("original"))

@@ -5,45 +5,86 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.names import loose_values
 from ..functions.text import grams
+from ..scratch import Scratch
 
 
-def trigram_pairs(left: DataFrame, right: DataFrame, floor: float = 0.3) -> DataFrame:
-    """kind, lname, rname, similarity of different names (columns kind, name) of one kind whose shared share of grams is at least ``floor``.
+#: Bits of a name's signature, in words of 64.
+WORDS = 4
+#: Rows of one gram that one task joins on the other side.
+BLOCK = 5000
+
+
+def _sets(names: DataFrame, name: str) -> DataFrame:
+    """id, kind, name, g: different names with their grams as numbers, of which kind is a part, so that kinds never meet."""
+    x = names.select("kind", F.col("name").alias(name)).filter(f"{name} is not null and kind is not null").distinct()
+    return x.withColumn("g", F.transform(grams(F.col(name)), lambda t: F.xxhash64(F.col("kind"), t))).filter("size(g) > 0").withColumn("id", F.xxhash64("kind", name))
+
+
+def _heads(sets: DataFrame, df: DataFrame, floor: float) -> DataFrame:
+    """The grams of each name, rarest first, up to the last at which a pair of at least ``floor`` can first meet: id, gram, n (grams in all), left (grams from here on), signature."""
+    e = sets.select("id", F.explode("g").alias("gram")).join(df, "gram")
+    bits = [F.bit_or(F.when(F.pmod("gram", F.lit(WORDS)) == i, F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.floor(F.col("gram") / WORDS), F.lit(64)).cast("int"))).otherwise(F.lit(0).cast("long"))).alias(f"s{i}") for i in range(WORDS)]
+    x = e.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("df", "gram"))).alias("g"), *bits)
+    n = F.size("g")
+    x = x.select("id", n.alias("n"), *[f"s{i}" for i in range(WORDS)], F.posexplode(F.slice("g", F.lit(1), n - F.ceil(F.lit(floor) * n).cast("int") + 1)).alias("at", "x"))
+    return x.select("id", "n", (F.col("n") - F.col("at")).alias("left"), *[f"s{i}" for i in range(WORDS)], "x.gram", "x.df")
+
+
+def trigram_pairs(left: DataFrame, right: DataFrame, floor: float = 0.3, tmp: Scratch | None = None) -> DataFrame:
+    """kind, lname, rname, similarity of names (columns kind, name) of one kind whose shared share of grams is at least ``floor``.
 
     Names of equal text are one on each side. The grams of a name are sorted by rarity; two names that share ``floor`` of their
-    grams must share one among the rarest of each, so only as many are joined as that takes, and a pair counts at its rarest common
-    gram. Names without a gram match nothing.
+    grams must share one among the rarest of each, so only as many are joined as that takes. The join carries numbers alone: what both have left from the
+    gram at which they meet, and 256 bits that tell which grams one lacks, bound what they can share; only pairs that pass fetch their grams. Grams of
+    very many names are joined in parts. Names without a gram match nothing, nor do null names and kinds.
     """
-    a = left.select("kind", F.col("name").alias("lname")).filter("lname is not null").distinct().withColumn("g", grams(F.col("lname")))
-    b = right.select("kind", F.col("name").alias("rname")).filter("rname is not null").distinct().withColumn("g", grams(F.col("rname")))
-    df = a.select(F.explode("g").alias("gram")).unionAll(b.select(F.explode("g").alias("gram"))).groupBy("gram").agg(F.count("*").alias("n"))
-
-    def ordered(side: DataFrame, name: str) -> DataFrame:
-        x = side.select("kind", name, F.explode("g").alias("gram")).join(df, "gram")
-        x = x.groupBy("kind", name).agg(F.transform(F.array_sort(F.collect_list(F.struct("n", "gram"))), lambda s: s["gram"]).alias("g"))
-        head = F.size("g") - F.ceil(F.lit(floor) * F.size("g")).cast("int") + 1
-        return x.select("kind", name, "g", F.explode(F.slice("g", F.lit(1), head)).alias("gram"))
-
-    met = ordered(a, "lname").withColumnRenamed("g", "lg").join(ordered(b, "rname").withColumnRenamed("g", "rg"), ["kind", "gram"])
-    met = met.filter((F.least(F.size("lg"), F.size("rg")) >= floor * F.greatest(F.size("lg"), F.size("rg"))))
-    met = met.withColumn("both", F.array_intersect("lg", "rg")).filter(F.element_at("both", 1) == F.col("gram"))
-    shared = F.size("both")
+    tmp = tmp or Scratch(left.sparkSession, "trigrams")
+    a, b = tmp.keep(_sets(left, "lname"), f"l{floor}"), tmp.keep(_sets(right, "rname"), f"r{floor}")
+    df = a.select(F.explode("g").alias("gram")).unionAll(b.select(F.explode("g").alias("gram"))).groupBy("gram").agg(F.count("*").alias("df"))
+    parts = F.ceil(F.col("df") / BLOCK).cast("int")
+    x = _heads(a, df, floor).withColumn("_p", F.pmod("id", parts).cast("int")).alias("x")
+    y = _heads(b, df, floor).withColumn("_p", F.explode(F.sequence(F.lit(0), parts - 1))).alias("y")
+    need = F.ceil(F.lit(floor / (1 + floor)) * (F.col("x.n") + F.col("y.n")) - 1e-9)
+    lacks = lambda p, q: sum(F.bit_count(F.col(f"{p}.s{i}").bitwiseAND(F.bitwise_not(F.col(f"{q}.s{i}")))) for i in range(WORDS))
+    met = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x._p") == F.col("y._p")) & (F.least("x.left", "y.left") >= need) & (F.col("x.n") - lacks("x", "y") >= need) & (F.col("y.n") - lacks("y", "x") >= need))
+    met = met.groupBy(F.col("x.id").alias("l"), F.col("y.id").alias("r")).agg(F.lit(1).alias("_"))
+    full = met.join(a.select(F.col("id").alias("l"), "kind", "lname", F.col("g").alias("lg")), "l").join(b.select(F.col("id").alias("r"), "rname", F.col("g").alias("rg")), "r")
+    shared = F.size(F.array_intersect("lg", "rg"))
     sim = F.round(shared / (F.size("lg") + F.size("rg") - shared), 6)
-    return met.select("kind", "lname", "rname", sim.alias("similarity")).filter(F.col("similarity") >= floor)
+    return full.select("kind", "lname", "rname", sim.alias("similarity")).filter(F.col("similarity") >= floor)
+
+
+#: Likeness down to which names are searched first; what has its candidates there needs no search further down.
+STEPS = (0.6, 0.45)
 
 
 def top_candidates(queries: DataFrame, records: DataFrame, k: int = 5, floor: float = 0.3) -> DataFrame:
     """id, uid, name, similarity, place: the ``k`` most similar names of active records of the query's kind, by similarity, name, uid.
 
-    ``queries``: id, kind, name; ``records``: uid, kind, name, is_active, canonical_uid. uid is that of the record the name leads to.
+    ``queries``: id, kind, name; ``records``: uid, kind, name, is_active, canonical_uid. uid is that of the record the name leads to; a name that leads to no record of the table
+    keeps its place and gives no row. A search down to a high likeness is cheap, so names are searched in steps: those with ``k`` candidates at one step are done, as nothing below can
+    come before these.
     """
-    live = records.filter("is_active")
-    pairs = trigram_pairs(queries, live, floor)
-    hits = pairs.join(live.select("uid", "kind", F.col("name").alias("rname"), F.coalesce("canonical_uid", "uid").alias("canonical")), ["kind", "rname"])
+    tmp = Scratch(queries.sparkSession, "candidates")
+    live = tmp.keep(records.filter("is_active").select("uid", "kind", F.col("name").alias("rname"), F.coalesce("canonical_uid", "uid").alias("canonical")), "live")
+    names = live.select("kind", F.col("rname").alias("name"))
+    rest = tmp.keep(queries.select("kind", "name").filter("name is not null").distinct(), "asked")
     w = Window.partitionBy("kind", "lname").orderBy(F.col("similarity").desc(), "rname", "uid")
-    best = hits.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= k)
-    return queries.select("id", "kind", F.col("name").alias("lname")).join(best, ["kind", "lname"]).select("id", F.col("canonical").alias("uid"), F.col("rname").alias("name"), "similarity", "place")
+    found = None
+    steps = [*[s for s in STEPS if s > floor], floor]
+    for i, step in enumerate(steps):
+        hits = trigram_pairs(rest, names, step, tmp).join(live, ["kind", "rname"])
+        best = tmp.keep(hits.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= k), f"best{i}")
+        if i + 1 < len(steps):
+            done = best.filter(F.col("place") == k).select("kind", F.col("lname").alias("name"))
+            best = best.join(done.withColumnRenamed("name", "lname"), ["kind", "lname"], "left_semi")
+            rest = tmp.keep(rest.join(done, ["kind", "name"], "left_anti"), f"rest{i}")
+        found = best if found is None else found.unionByName(best)
+    there = records.select(F.col("uid").alias("canonical")).distinct()
+    found = found.join(there, "canonical", "left_semi")
+    return queries.select("id", "kind", F.col("name").alias("lname")).join(found, ["kind", "lname"]).select("id", F.col("canonical").alias("uid"), F.col("rname").alias("name"), "similarity", "place")
 
 
 def best_of_searches(native: DataFrame, romanised: DataFrame, ceiling: float = 0.9) -> DataFrame:
@@ -52,8 +93,48 @@ def best_of_searches(native: DataFrame, romanised: DataFrame, ceiling: float = 0
     return both.groupBy("id", "uid").agg(F.max("similarity").alias("similarity"))
 
 
+# Fields that say who something is, and fields that say a little.
+STRONG = (
+    "Affiliations(groupName)", "Parent Organisation", "Street Address", "Postal Code", "Awards", "Education", "Birth Year (yyyy)",
+    "Place of Birth", "Founder", "Group Members", "Spouse", "Child", "Parent",
+)
+WEAK = ("Occupation", "Feature Type", "Title", "Category")
+STRONG_BONUS, WEAK_BONUS, MOST_BONUS, LONG = 0.20, 0.08, 0.45, 8
+DEATH = "Death Year (yyyy)"
+ABOUT_A_DEATH = r"(?i)\b(the late|died|death|passed away|posthumous|obituar|memorial)\b|逝世|去世|已故|离世"
+
+
 def shared_fields(a: str, b: str) -> Column:
-    """Number of keys of two maps under which both hold a common value of a multi-valued string."""
-    parts = lambda v: F.filter(F.transform(F.split(F.lower(v), r"\|"), lambda x: F.trim(x)), lambda x: x != "")
-    keys = F.array_intersect(F.map_keys(a), F.map_keys(b))
-    return F.size(F.filter(keys, lambda k: F.arrays_overlap(parts(F.col(a)[k]), parts(F.col(b)[k]))))
+    """The telling fields, sorted, under which two maps hold a common value, or one value within another, both of eight characters or more."""
+
+    def common(k: str) -> Column:
+        x, y = loose_values(F.try_element_at(a, F.lit(k))), loose_values(F.try_element_at(b, F.lit(k)))
+        within = F.exists(x, lambda p: F.exists(y, lambda q: (F.length(p) >= LONG) & (F.length(q) >= LONG) & (p.contains(q) | q.contains(p))))
+        return F.when(F.arrays_overlap(x, y) | within, F.lit(k))
+
+    return F.array_compact(F.array(*[common(k) for k in sorted((*STRONG, *WEAK))]))
+
+
+def bonus(shared: Column) -> Column:
+    """What shared fields add to a likeness."""
+    strong = F.size(F.array_intersect(shared, F.array(*map(F.lit, STRONG))))
+    return F.least(strong * STRONG_BONUS + (F.size(shared) - strong) * WEAK_BONUS, F.lit(MOST_BONUS))
+
+
+def impossible(record_fields: Column, fields: Column, kind: Column, said: Column, year: Column) -> Column:
+    """A person recorded dead two years or more before the article, unless the mention has a death year or what is said is about a death."""
+    died = F.trim(F.coalesce(F.try_element_at(record_fields, F.lit(DEATH)), F.lit("")))
+    dead = F.when(died.rlike("^[0-9]{1,9}$"), died.cast("int") < year - 1)
+    own = F.coalesce(F.array_contains(F.map_keys(fields), DEATH), F.lit(False))
+    return F.coalesce((kind == "PERSON") & dead & ~own & ~F.coalesce(said, F.lit("")).rlike(ABOUT_A_DEATH), F.lit(False))
+
+
+def rank(pairs: DataFrame, keep: int = 5) -> DataFrame:
+    """extracted_id, uid, overlap, score, place: candidates that are possible, by name likeness and shared fields together, likeness, uid; the first ``keep``.
+
+    ``pairs``: extracted_id, uid, similarity, kind, fields, record_fields, said (what is said of the mention), year (of the article).
+    """
+    x = pairs.filter(~impossible(F.col("record_fields"), F.col("fields"), F.col("kind"), F.col("said"), F.col("year")))
+    x = x.withColumn("overlap", shared_fields("fields", "record_fields")).withColumn("score", F.floor((F.col("similarity") + bonus(F.col("overlap"))) * 1000 + 0.500001) / 1000)
+    w = Window.partitionBy("extracted_id").orderBy(F.col("score").desc(), F.col("similarity").desc(), "uid")
+    return x.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= keep).select("extracted_id", "uid", "overlap", "score", "place")

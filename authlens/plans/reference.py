@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..operators import authority, components, evaluation, retrieval, review
 from ..operators.snapshots import valid_loads
+from . import _sql as S
 from . import table
 from .general import _LOADS
 
@@ -15,11 +16,11 @@ QUERIES: dict = {}
 SQL: dict[str, str] = {}
 
 
-def query(sql: str | None = None):
+def query(sql: str | None = None, queries: dict | None = None, sqls: dict | None = None):
     def add(f):
-        QUERIES[f.__name__] = f
+        (QUERIES if queries is None else queries)[f.__name__] = f
         if sql:
-            SQL[f.__name__] = sql
+            (SQL if sqls is None else sqls)[f.__name__] = sql
         return f
 
     return add
@@ -33,37 +34,29 @@ def _records(spark, d):
     return table(spark, d, "entities").withColumnRenamed("entity_type", "kind")
 
 
-_GRAMS = """
-words as (select distinct kind, name, unnest(list_filter(regexp_split_to_array(lower(name), '[^\\p{L}\\p{N}_]+'), lambda x: x <> '')) as w from names where name is not null),
-g as (select distinct kind, name, substr('  ' || w || ' ', i::bigint, 3) as gram from (select *, unnest(range(1, len(w)::bigint + 2)) as i from words)),
-sizes as (select kind, name, count(*) as n from g group by all)"""
-
-
-def _search(column: str) -> str:
+def _search(n: str, column: str) -> str:
+    """CTEs of one search by trigrams: found{n} has id, uid, name, similarity, place."""
     return f"""
-with names as (select distinct entity_type as kind, {column} as name from extracted_entities union select entity_type, name from entities where is_active), {_GRAMS},
-ln as (select distinct entity_type as kind, {column} as name from extracted_entities), rn as (select distinct entity_type as kind, name from entities where is_active),
-lg as (select g.* from g join ln using (kind, name)), rg as (select g.* from g join rn using (kind, name)),
-shared as (select lg.kind, lg.name as lname, rg.name as rname, count(*) as c from lg join rg on lg.kind = rg.kind and lg.gram = rg.gram group by all),
-sims as (select s.kind, lname, rname, round(c / (a.n + b.n - c), 6) as similarity from shared s join sizes a on a.kind = s.kind and a.name = lname join sizes b on b.kind = s.kind and b.name = rname),
-hits as (select s.*, coalesce(e.canonical_uid, e.uid) as uid, row_number() over (partition by s.kind, lname order by similarity desc, rname, e.uid) as place
-  from sims s join entities e on e.entity_type = s.kind and e.name = rname and e.is_active where similarity >= 0.3),
-found as (select x.id, h.uid, h.rname as name, h.similarity, h.place::int as place from extracted_entities x join hits h on h.kind = x.entity_type and h.lname = x.{column} where place <= 5)"""
-
-
-@query(_search("entity_name") + "select * from found")
+names{n} as (select distinct entity_type as kind, {column} as name from extracted_entities union select entity_type, name from entities where is_active),
+words{n} as (select distinct kind, name, unnest(list_filter(regexp_split_to_array(lower(name), '[^\\p{{L}}\\p{{N}}_]+'), lambda x: x <> '')) as w from names{n} where name is not null),
+g{n} as (select distinct kind, name, substr('  ' || w || ' ', i::bigint, 3) as gram from (select *, unnest(range(1, len(w)::bigint + 2)) as i from words{n})),
+sizes{n} as (select kind, name, count(*) as n from g{n} group by all),
+l{n} as (select g.* from g{n} g semi join extracted_entities x on x.entity_type = g.kind and x.{column} = g.name), r{n} as (select g.* from g{n} g semi join (select * from entities where is_active) e on e.entity_type = g.kind and e.name = g.name),
+shared{n} as (select a.kind, a.name as lname, b.name as rname, count(*) as c from l{n} a join r{n} b on a.kind = b.kind and a.gram = b.gram group by all),
+sims{n} as (select s.kind, lname, rname, round(c / (a.n + b.n - c), 6) as similarity from shared{n} s join sizes{n} a on a.kind = s.kind and a.name = lname join sizes{n} b on b.kind = s.kind and b.name = rname),
+hits{n} as (select s.*, coalesce(e.canonical_uid, e.uid) as uid, row_number() over (partition by s.kind, lname order by similarity desc, rname, e.uid) as place
+  from sims{n} s join entities e on e.entity_type = s.kind and e.name = rname and e.is_active where similarity >= 0.3),
+found{n} as (select x.id, h.uid, h.rname as name, h.similarity, h.place::int as place from extracted_entities x join hits{n} h on h.kind = x.entity_type and h.lname = x.{column} where place <= 5 and h.uid in (select uid from entities))"""
+
+
+@query(f"with {_search('', 'entity_name')} select f.*, c.name as record_name, c.entity_type as record_type, c.language as record_language, cardinality(c.fields)::bigint as record_fields from found f join entities c on c.uid = f.uid")
 def trigram_match(spark, d):
-    return retrieval.top_candidates(_mentions(spark, d), _records(spark, d))
+    found = retrieval.top_candidates(_mentions(spark, d), _records(spark, d))
+    c = table(spark, d, "entities").select("uid", F.col("name").alias("record_name"), F.col("entity_type").alias("record_type"), F.col("language").alias("record_language"), F.size("fields").cast("long").alias("record_fields"))
+    return found.join(c, "uid")
 
 
-@query(
-    _search("entity_name") + ", one as (select id, uid, similarity from found)" + _search("entity_name_en").replace("\nwith names", ", names2").replace("words as", "words2 as").replace("from names ", "from names2 ").replace("from words)", "from words2)")
-    .replace("g as (select distinct", "g2 as (select distinct").replace("sizes as", "sizes2 as").replace("from g group", "from g2 group").replace("select g.* from g ", "select g2.* from g2 ")
-    .replace("ln as", "ln2 as").replace(" rn as", " rn2 as").replace("\nlg2 as", "\nlg as").replace("join ln ", "join ln2 ").replace("join rn ", "join rn2 ").replace("lg as (", "lg2 as (").replace(" rg as (", " rg2 as (")
-    .replace("lg.", "lg2.").replace("rg.", "rg2.").replace("from lg join rg on", "from lg2 join rg2 on").replace("shared as", "shared2 as").replace("from shared s", "from shared2 s").replace("join sizes a", "join sizes2 a").replace("join sizes b", "join sizes2 b")
-    .replace("sims as", "sims2 as").replace("from sims s", "from sims2 s").replace("hits as", "hits2 as").replace("join hits h", "join hits2 h").replace("found as", "found2 as")
-    + " select id, uid, max(similarity) as similarity from (select * from one union all select id, uid, least(similarity, 0.9) from found2) group by all"
-)
+@query(f"with {_search('', 'entity_name')}, {_search('2', 'entity_name_en')} select id, uid, max(similarity) as similarity from (select id, uid, similarity from found union all select id, uid, least(similarity, 0.9) from found2) group by all")
 def candidates_two_searches(spark, d):
     r = _records(spark, d)
     return retrieval.best_of_searches(retrieval.top_candidates(_mentions(spark, d), r), retrieval.top_candidates(_mentions(spark, d, "entity_name_en"), r))
@@ -72,16 +65,21 @@ def candidates_two_searches(spark, d):
 @query("""
 with r as (select load_id, trim(key_uid, ' ') as uid, trim(relationship_type, ' ') as attribute, pos, trim(related_descriptor, ' ') as v from authority_rows
   where coalesce(trim(related_uid, ' '), '') = '' and trim(related_descriptor, ' ') <> ''),
-f as (select load_id, uid, attribute, v, min(pos) as pos from r where attribute not in ('LDMS URI', 'Source') group by all)
+f as (select load_id, uid, attribute, v, min(pos) as pos from r where attribute <> '' and attribute not in ('LDMS URI', 'VIAF URI', 'Wikidata URI', 'Source') group by all)
 select load_id, uid, attribute, string_agg(v, ' | ' order by pos, v) as value from f group by all""")
 def eav_pivot(spark, d):
     return authority.pivot_attributes(table(spark, d, "authority_rows"))
 
 
-@query("""
-with r as (select load_id, trim(key_uid, ' ') as uid, upper(trim(relationship_type, ' ')) as t, trim(related_uid, ' ') as u from authority_rows where trim(related_uid, ' ') <> ''),
-a as (select load_id, uid, coalesce(min(u) filter (t = 'USE'), min(u) filter (t in ('CHITOENG', 'MAYTOENG', 'TAMTOENG'))) as hop from r where t in ('USE', 'CHITOENG', 'MAYTOENG', 'TAMTOENG') group by all)
-select a.load_id, a.uid, coalesce(b.hop, a.hop) as canonical from a left join a b on a.load_id = b.load_id and a.hop = b.uid""")
+_CANONICAL = """
+r as (select load_id, trim(key_uid, ' ') as uid, trim(key_vocabulary, ' ') as v, pos, upper(trim(relationship_type, ' ')) as t, trim(related_uid, ' ') as u from authority_rows where trim(key_uid, ' ') <> ''),
+head as (select load_id, uid, case split_part(arg_min(v, pos), '_', -1) when 'CN' then 'zh' when 'MY' then 'ms' when 'TM' then 'ta' else 'en' end as language from r group by all),
+use_ as (select load_id, uid, min(u) as target from r where t = 'USE' and u <> '' and u <> uid group by all), cross_ as (select load_id, uid, min(u) as target from r where t in ('CHITOENG', 'MAYTOENG', 'TAMTOENG') and u <> '' and u <> uid group by all),
+canon as (select h.load_id, h.uid, coalesce(s.target, h.uid) as preferred from head h left join use_ s on s.load_id = h.load_id and s.uid = h.uid)"""
+
+
+@query(f"""with {_CANONICAL} select c.load_id, c.uid, case when p.language <> 'en' then coalesce(x.target, c.preferred) else c.preferred end as canonical
+from canon c left join head p on p.load_id = c.load_id and p.uid = c.preferred left join cross_ x on x.load_id = c.load_id and x.uid = c.preferred""")
 def canonical_links(spark, d):
     return authority.canonical_targets(table(spark, d, "authority_rows"))
 
@@ -100,47 +98,40 @@ def record_heads(spark, d):
     return authority.records(table(spark, d, "authority_rows")).select("load_id", "uid", "name", "vocabulary")
 
 
-_STORY = """
+_STORY = f"""
 a as (select id, min(url) as url, min(title) as title, min(coalesce(pubdate, created_at)) as ts from articles group by id),
-b as (select *, nullif(split_part(regexp_replace(regexp_extract(url, '^https?://([^/]+)', 1), '^www\\.', ''), '.', 1), '') as outlet, regexp_extract(url, '^https?://[^/]+([^?#]*)', 1) as path from a),
-c as (select *, outlet || ':' || case when regexp_extract(path, '([0-9]{6,})/?$', 1) <> '' then regexp_extract(path, '([0-9]{6,})/?$', 1) else path end as key,
-  lower(trim(regexp_replace(replace(replace(replace(replace(title, '&amp;', '&'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', ' '), '\\s+', ' ', 'g'), ' ')) as t from b)"""
+b as (select *, regexp_replace(lower(regexp_extract(url, '^[a-z]+://([^/?#]*)', 1)), '^www\\.', '') as outlet, rtrim(regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1), '/') as path from a),
+c as (select *, outlet || ':' || path as key, {S.tight(S.low('title'))} as t from b)"""
 
 
 @query(f"with {_STORY} select id, outlet, regexp_extract(path, '^/(.*)/[^/]*$', 1) as section, key, t as title_key from c")
 def url_parts(spark, d):
     a = table(spark, d, "articles").groupBy("id").agg(F.min("url").alias("url"), F.min("title").alias("title"))
-    return a.select("id", T.outlet(F.col("url")).alias("outlet"), T.section(F.col("url")).alias("section"), T.story_key(F.col("url")).alias("key"), T.title_key(F.col("title")).alias("title_key"))
+    return T.with_title_key(a, "title", "title_key").select("id", T.outlet(F.col("url")).alias("outlet"), T.section(F.col("url")).alias("section"), T.story_key(F.col("url")).alias("key"), "title_key")
 
 
 @query(f"""
 with recursive {_STORY},
-used as (select outlet, t from c where t <> '' and ts is not null group by all having count(distinct ts::date) < 3),
-near as (select id as b, lag(id) over w as a, ts, lag(ts) over w as before from c join used using (outlet, t) where t <> '' and ts is not null window w as (partition by outlet, t order by ts, id)),
-links as (select min(id) over (partition by key) as a, id as b from c where key is not null union select a, b from near where epoch_us(ts) - epoch_us(before) <= 2 * 86400000000),
-both_ as (select a, b from links where a <> b union select b, a from links where a <> b),
-reach as (select id, id as seen from c union select r.id, e.b from reach r join both_ e on e.a = r.seen)
-select id, min(seen) as original from reach group by id""")
+used as (select outlet, t from c where t <> '' group by all having count(distinct coalesce(ts::date, '0001-01-01'::date)) < 3),
+close as (select x.id, min(y.id) as to_ from c x join used using (outlet, t) join c y on y.outlet = x.outlet and y.t = x.t and y.id < x.id and abs(epoch_us(x.ts) - epoch_us(y.ts)) <= 2 * 86400000000 where x.t <> '' group by all),
+keyed as (select id, min(id) over (partition by key) as to_ from c where key is not null),
+ptr as (select c.id, case when k.to_ < c.id then k.to_ else n.to_ end as to_ from c left join keyed k on k.id = c.id left join close n on n.id = c.id),
+walk as (select id, id as seen from c union all select w.id, p.to_ from walk w join ptr p on p.id = w.seen where p.to_ is not null)
+select id, min(seen) as original from walk group by id""")
 def story_copies(spark, d):
     return components.story_copies(table(spark, d, "articles"))
 
 
-@query("""
-with n as (select uid, trim(regexp_replace(lower(translate(name, '‘’“”', '''''""')), ' +', ' ', 'g'), ' ') as plain, name from entities)
-select uid, plain, trim(regexp_replace(regexp_replace(replace(regexp_replace(plain, '^the ', ''), '&', ' and '), '''s ', ' ', 'g'), '[^\\p{L}\\p{N}]+', ' ', 'g'), ' ') as house from n""")
-def name_keys(spark, d):
-    return table(spark, d, "entities").select("uid", T.plain(F.col("name")).alias("plain"), T.house(F.col("name")).alias("house"))
-
-
 @query("""
 select uid, k as field, list_filter([trim(x, ' ') for x in string_split(v, '|')], lambda x: x <> '') as parts from (select uid, unnest(map_keys(fields)) as k, unnest(map_values(fields)) as v from entities)""")
 def field_values(spark, d):
     return table(spark, d, "entities").select("uid", F.explode("fields").alias("field", "v")).select("uid", "field", T.values(F.col("v")).alias("parts"))
 
 
-@query("""
-select doc_id, len(list_filter(string_split(regexp_replace(text, '([.!?])(\\s|$)', '\\1' || chr(1), 'g'), chr(1)), lambda x: trim(x, ' ') <> ''))::int as sentences,
-  (length(regexp_replace(text, '[^\\x{2E80}-\\x{9FFF}]', '', 'g')) + ceil((length(text) - length(regexp_replace(text, '[^\\x{2E80}-\\x{9FFF}]', '', 'g'))) / 4.0))::int as tokens from documents where text is not null""")
+@query(f"""
+with t as (select doc_id, text, {S.sub(S.sub("text", "^" + S.WS + "+|" + S.WS + "+$"), S.ABBREVIATION, "@#@")} as x from documents where text is not null)
+select doc_id, len(list_filter(string_split(regexp_replace(x, '([.!?])' || '{S.WS}' || '+([A-Z0-9"''(])', '\\1' || chr(1) || '\\2', 'g'), chr(1)), lambda v: v <> ''))::int as sentences,
+  (length(regexp_replace(text, '[^\\x{{2E80}}-\\x{{9FFF}}]', '', 'g')) + ceil((length(text) - length(regexp_replace(text, '[^\\x{{2E80}}-\\x{{9FFF}}]', '', 'g'))) / 4.0))::int as tokens from t""")
 def text_measures(spark, d):
     x = table(spark, d, "documents").filter("text is not null")
     return x.select("doc_id", T.sentence_count(F.col("text")).alias("sentences"), T.token_estimate(F.col("text")).alias("tokens"))
@@ -181,12 +172,18 @@ def label_disagreements(spark, d):
     return v.filter("lo <> hi").select("task", "item", "labeller", "label")
 
 
-_SCORED = "s as (select relevant::int as label, coalesce(length(description), 0) as score, coalesce(source, '') as source from articles where relevant is not null)"
+_SCORED = f"""{_VOTES}, m as (select distinct c.id, (list_max([x.similarity for x in c.candidates]))::double as score, coalesce(a.source, '') as source from candidate_matches c left join extracted_entities e on e.id = c.extracted_id left join (select id, min(source) as source from articles group by id) a on a.id = e.article_id),
+s as (select u.item, u.labeller, (u.label = 'y')::int as label, m.score, m.source from usable u join m on m.id::varchar = u.item where u.task = 'matching' and m.score is not null)"""
 
 
 def _scored(spark, d):
-    a = table(spark, d, "articles").filter("relevant is not null")
-    return a.select(F.col("relevant").cast("int").alias("label"), F.coalesce(F.length("description"), F.lit(0)).alias("score"), F.coalesce("source", F.lit("")).alias("source"))
+    """Labellers' verdicts on matches, with the best name likeness that was offered: item, labeller, label, score, source."""
+    a = table(spark, d, "articles").groupBy(F.col("id").alias("article_id")).agg(F.min("source").alias("source"))
+    e = table(spark, d, "extracted_entities").select(F.col("id").alias("extracted_id"), "article_id")
+    m = table(spark, d, "candidate_matches").select("id", "extracted_id", F.array_max(F.transform("candidates", lambda c: c["similarity"])).alias("score"))
+    m = m.join(e, "extracted_id", "left").join(a, "article_id", "left").select(F.col("id").cast("string").alias("item"), "score", F.coalesce("source", F.lit("")).alias("source")).distinct()
+    v = _votes(spark, d).filter("task = 'matching'").select("item", "labeller", (F.col("label") == "y").cast("int").alias("label"))
+    return v.join(m.filter("score is not null"), "item").select("item", "labeller", "label", "score", "source")
 
 
 @query(f"""
@@ -211,6 +208,102 @@ def recall_threshold(spark, d):
     return evaluation.recall_threshold(_scored(spark, d))
 
 
+@query(_CUM + ", q as (select score, round(tp / seen, 6) as precision from c where tp >= 0.8 * all_pos) select arg_max(score, (precision, score)) as threshold, max(precision) as precision from q")
+def precision_at_recall(spark, d):
+    return evaluation.precision_at_recall(_scored(spark, d), 0.8)
+
+
+@query(f"""with {_SCORED}, o as (select source, label, row_number() over w as k, sum(label) over (partition by source order by score desc, item || labeller rows unbounded preceding) as tp from s window w as (partition by source order by score desc, item || labeller))
+select source, round(avg(tp / k) filter (label = 1), 6) as ap from o group by source""")
+def average_precision(spark, d):
+    return evaluation.average_precision(_scored(spark, d).withColumn("key", F.concat("item", "labeller")), "key", ["source"])
+
+
+def _prf_sql(by: str, src: str, t: str) -> str:
+    return f"""select {by}sum((score >= {t} and label = 1)::int)::bigint as tp, sum((score >= {t} and label = 0)::int)::bigint as fp, sum((score < {t} and label = 1)::int)::bigint as fn, sum((score < {t} and label = 0)::int)::bigint as tn,
+round(sum((score >= {t} and label = 1)::int) / nullif(sum((score >= {t})::int), 0), 6) as precision, round(sum((score >= {t} and label = 1)::int) / nullif(sum(label), 0), 6) as recall,
+round(2 * sum((score >= {t} and label = 1)::int) / nullif(sum(label) + sum((score >= {t})::int), 0), 6) as f1, round(sum((score >= {t})::int) / count(*), 6) as flagged from {src}"""
+
+
+@query(f"with {_SCORED} {_prf_sql('source, ', 's', '0.6')} group by source")
+def counts_at_threshold(spark, d):
+    return evaluation.prf(_scored(spark, d), F.lit(0.6), ["source"])
+
+
+@query(f"""with {_SCORED}, x as (select *, case when item::bigint % 2 = 0 then 'dev' else 'held' end as part from s),
+p as (select score, count(*) as n, sum(label) as pos from x where part = 'dev' group by all), c as (select score, sum(n) over (order by score desc) as seen, sum(pos) over (order by score desc) as tp, sum(pos) over () as all_pos from p),
+t as (select arg_max(score, (round(2 * tp / (seen + all_pos), 6), score)) as threshold from c), y as (select x.*, threshold from x, t)
+{_prf_sql('part, threshold, null::varchar as source, ', 'y', 'threshold')} group by part, threshold union all {_prf_sql('part, threshold, source, ', 'y', 'threshold')} group by part, threshold, source""")
+def thresholds_carried(spark, d):
+    """Fixed on items of even number, applied to all."""
+    return evaluation.carried_threshold(_scored(spark, d), F.col("item").cast("long") % 2 == 0, ["source"])
+
+
+@query(f"""with {_SCORED}, g as (select h.v / 20.0::double as hi, l.v / 20.0::double as lo from range(10, 20) h(v), range(2, 11) l(v))
+select hi, lo, round(sum(case when score >= hi and label = 1 or score < lo and label = 0 then 1 else 0 end) / count(*), 6) as agree, count(*) as rows from s, g group by hi, lo""")
+def cutoffs(spark, d):
+    return evaluation.tune_cutoffs(_scored(spark, d), [v / 20 for v in range(10, 20)], [v / 20 for v in range(2, 11)])
+
+
+@query(f"with {_SCORED} select floor(score * 10)::int as step, sum(label)::bigint as yes, sum(1 - label)::bigint as no from s group by all")
+def verdicts_by_likeness(spark, d):
+    s = _scored(spark, d)
+    return s.groupBy(F.floor(F.col("score") * 10).cast("int").alias("step")).agg(F.sum("label").alias("yes"), F.sum(1 - F.col("label")).alias("no"))
+
+
+_STRATA = f"""{_VOTES}, lab as (select item, max(label) as label from (select item, label, count(*) as n, row_number() over (partition by item order by count(*) desc, label) as k from usable where task = 'relevance' group by all) where k = 1 group by item),
+art as (select id, min(url) as url, coalesce(bool_or(relevant), false) as kept, coalesce(min(source), '') as source from articles group by id), st as (select case when kept then 'kept' else source end as stratum, 1.0 as weight, l.label = 'true' as yes from art left join lab l on l.item = art.url),
+g as (select st.stratum, sum(st.weight)::double as size, count(st.yes) as labelled, sum(coalesce(st.yes::int, 0))::bigint as yes from st group by stratum)"""
+
+
+def _strata(spark, d):
+    v = _votes(spark, d).filter("task = 'relevance'").groupBy("item", "label").agg(F.count("*").alias("n"))
+    best = v.withColumn("k", F.row_number().over(Window.partitionBy("item").orderBy(F.col("n").desc(), "label"))).filter("k = 1").select(F.col("item").alias("url"), (F.col("label") == "true").alias("yes"))
+    a = table(spark, d, "articles").groupBy("id").agg(F.min("url").alias("url"), F.coalesce(F.bool_or("relevant"), F.lit(False)).alias("kept"), F.coalesce(F.min("source"), F.lit("")).alias("source"))
+    rows = a.join(best, "url", "left").select(F.when(F.col("kept"), "kept").otherwise(F.col("source")).alias("stratum"), F.lit(1.0).alias("weight"), "yes")
+    return evaluation.strata(rows, "stratum", "weight", "yes")
+
+
+@query(f"with {_STRATA} select * from g")
+def strata_totals(spark, d):
+    return _strata(spark, d)
+
+
+@query(f"with {_STRATA}, t as (select sum(size * yes / nullif(labelled, 0)) filter (stratum = 'kept') as found, coalesce(sum(size * yes / nullif(labelled, 0)) filter (stratum <> 'kept'), 0) as missed from g) select round(found, 6) as found, round(missed, 6) as missed, round(found / nullif(found + missed, 0), 6) as recall from t")
+def weighted_recall(spark, d):
+    t = evaluation.recall_of(_strata(spark, d), F.col("stratum") == "kept")
+    return t.select(*[F.round(c, 6).alias(c) for c in ("found", "missed", "recall")])
+
+
+@query(f"with {_STRATA} select stratum, round(case when labelled > 0 then 1.96 * sqrt((yes / labelled) * (1 - yes / labelled) / labelled) else 1 end, 6) as margin from g")
+def margins(spark, d):
+    return _strata(spark, d).select("stratum", F.round(evaluation.margin(F.col("yes") / F.nullif(F.col("labelled"), F.lit(0)), F.col("labelled")), 6).alias("margin"))
+
+
+@query()
+def recall_ranges(spark, d):
+    return evaluation.recall_range(_strata(spark, d).withColumn("kept", F.col("stratum") == "kept"), "kept")
+
+
+@query()
+def share_ranges(spark, d):
+    g = _strata(spark, d)
+    return g.select("stratum", "yes", "labelled", evaluation.jeffreys(F.col("yes"), F.col("labelled")).alias("range")).select("stratum", "yes", "labelled", "range.lo", "range.hi")
+
+
+@query()
+def extraction_ranges(spark, d):
+    """Labellers' verdicts on an article's names: correct ones, and wrong ones; partial ones count as missed."""
+    v = _votes(spark, d).filter("task not in ('matching', 'relevance')").groupBy("item").agg(*[F.sum((F.col("label") == k).cast("int")).alias(c) for k, c in (("correct", "ok"), ("wrong", "bad"), ("partial", "missed"))])
+    return evaluation.cluster_range(v.withColumn("group", F.lit("all")).withColumn("weight", F.lit(1.0)), "item")
+
+
+@query()
+def interval_coverage(spark, d):
+    g = _strata(spark, d).filter("labelled > 4").orderBy("stratum").collect()
+    return evaluation.coverage(spark, [(r["stratum"], int(r["size"]), r["yes"] / r["labelled"], min(r["labelled"], int(r["size"]))) for r in g], 400)
+
+
 @query(f"with {_SCORED} select source, count(*) as rows_, sum(label)::bigint as yes, round(avg(score), 4) as mean from s group by grouping sets ((), (source))")
 def slices(spark, d):
     _scored(spark, d).createOrReplaceTempView("_scored_slices")
@@ -274,21 +367,34 @@ def plausible(spark, d):
     return m.select("id", "best", F.explode("candidates").alias("c")).filter("best - c.similarity <= 0.25").select("id", "c.uid", "c.similarity").distinct()
 
 
-@query("""
-with c as (select distinct extracted_id, c.uid as uid, c.similarity as similarity from (select extracted_id, unnest(candidates) as c from candidate_matches)),
-mf as (select id, unnest(map_keys(fields)) as k, unnest(map_values(fields)) as v from extracted_entities), rf as (select uid, unnest(map_keys(fields)) as k, unnest(map_values(fields)) as v from entities),
-o as (select c.extracted_id, c.uid, c.similarity, count(*) filter (list_has_any([trim(x, ' ') for x in string_split(lower(mf.v), '|') if trim(x, ' ') <> ''], [trim(x, ' ') for x in string_split(lower(rf.v), '|') if trim(x, ' ') <> ''])) as shared
-  from c join extracted_entities e on e.id = c.extracted_id join entities r on r.uid = c.uid left join mf on mf.id = c.extracted_id left join rf on rf.uid = c.uid and rf.k = mf.k group by all),
-s as (select *, floor((similarity + least(0.45, 0.2 * shared)) * 1000 + 0.500001) / 1000 as score from o)
-select extracted_id, uid, shared::int as shared, score, (row_number() over (partition by extracted_id order by score desc, similarity desc, uid))::int as place from s qualify place <= 5""")
+def _list(values) -> str:
+    return "(" + ", ".join("'" + v + "'" for v in values) + ")"
+
+
+_RANKED = f"""
+c as (select distinct extracted_id, c.uid as uid, c.similarity as similarity from (select extracted_id, unnest(candidates) as c from candidate_matches)),
+y as (select e.id, e.entity_type as kind, e.fields as f, coalesce(e.summary, '') || ' ' || coalesce(e.evidence, '') as said, year(coalesce(a.pubdate, e.created_at)) as year
+  from extracted_entities e left join (select id, min(pubdate) as pubdate from articles group by id) a on a.id = e.article_id),
+p as (select c.extracted_id, c.uid, c.similarity, y.kind, y.f, y.said, y.year, r.fields as rf from c join y on y.id = c.extracted_id join entities r on r.uid = c.uid),
+ok as (select * from p where not coalesce(kind = 'PERSON' and regexp_matches(trim(rf['Death Year (yyyy)'], ' '), '^[0-9]{{1,9}}$') and try_cast(trim(rf['Death Year (yyyy)'], ' ') as int) < year - 1 and not list_contains(map_keys(f), 'Death Year (yyyy)')
+  and not regexp_matches(said, '(?i)\\b(the late|died|death|passed away|posthumous|obituar|memorial)\\b|逝世|去世|已故|离世'), false)),
+k as (select extracted_id, uid, similarity, f, rf, unnest(list_intersect(map_keys(f), map_keys(rf))) as k from ok),
+v as (select extracted_id, uid, k, list_filter([{S.tight(S.low('x'))} for x in string_split(f[k], '|')], lambda x: x <> '') as a, list_filter([{S.tight(S.low('x'))} for x in string_split(rf[k], '|')], lambda x: x <> '') as b from k where k in {_list((*retrieval.STRONG, *retrieval.WEAK))}),
+w as (select distinct extracted_id, uid, k from (select extracted_id, uid, k, a, unnest(b) as q, b from v) t, (select 1) where list_contains(a, q) or len(list_filter(a, lambda p: len(p) >= 8 and len(q) >= 8 and (contains(p, q) or contains(q, p)))) > 0),
+o as (select extracted_id, uid, string_agg(k, ',' order by k) as overlap, least(0.45, sum(case when k in {_list(retrieval.STRONG)} then 0.20 else 0.08 end))::double as bonus from w group by all),
+s as (select ok.extracted_id, ok.uid, similarity, coalesce(overlap, '') as overlap, floor((similarity + coalesce(bonus, 0)) * 1000 + 0.500001) / 1000 as score from ok left join o using (extracted_id, uid))"""
+
+
+@query(f"""with {_RANKED}
+select extracted_id, uid, overlap, score, (row_number() over (partition by extracted_id order by score desc, similarity desc, uid))::int as place from s qualify place <= 5""")
 def ranked_candidates(spark, d):
     c = table(spark, d, "candidate_matches").select("extracted_id", F.explode("candidates").alias("c")).select("extracted_id", "c.uid", "c.similarity").distinct()
-    m = table(spark, d, "extracted_entities").select(F.col("id").alias("extracted_id"), F.col("fields").alias("mf"))
-    r = table(spark, d, "entities").select("uid", F.col("fields").alias("rf"))
-    x = c.join(m, "extracted_id").join(r, "uid").withColumn("shared", F.coalesce(retrieval.shared_fields("mf", "rf"), F.lit(0)))
-    x = x.withColumn("score", F.floor((F.col("similarity") + F.least(F.lit(0.45), 0.2 * F.col("shared"))) * 1000 + 0.500001) / 1000)
-    w = Window.partitionBy("extracted_id").orderBy(F.col("score").desc(), F.col("similarity").desc(), "uid")
-    return x.withColumn("place", F.row_number().over(w)).filter("place <= 5").select("extracted_id", "uid", "shared", "score", "place")
+    a = table(spark, d, "articles").groupBy(F.col("id").alias("article_id")).agg(F.min("pubdate").alias("pubdate"))
+    e = table(spark, d, "extracted_entities").join(a, "article_id", "left")
+    said = F.concat_ws(" ", F.coalesce("summary", F.lit("")), F.coalesce("evidence", F.lit("")))
+    m = e.select(F.col("id").alias("extracted_id"), F.col("entity_type").alias("kind"), "fields", said.alias("said"), F.year(F.coalesce("pubdate", "created_at")).alias("year"))
+    r = table(spark, d, "entities").select("uid", F.col("fields").alias("record_fields"))
+    return retrieval.rank(c.join(m, "extracted_id").join(r, "uid")).withColumn("overlap", F.array_join("overlap", ","))
 
 
 @query("""
@@ -393,7 +499,7 @@ def retired_matches(spark, d):
 @query(f"with {_STORY} select outlet, t as title, count(distinct ts::date) as days, count(*) as stories from c where t <> '' group by all having count(*) > 1")
 def title_days(spark, d):
     a = table(spark, d, "articles").groupBy("id").agg(F.min("url").alias("url"), F.min("title").alias("title"), F.min(F.coalesce("pubdate", "created_at")).alias("ts"))
-    a = a.select(T.outlet(F.col("url")).alias("outlet"), T.title_key(F.col("title")).alias("title"), "ts").filter("title <> ''")
+    a = T.with_title_key(a, "title", "t").select(T.outlet(F.col("url")).alias("outlet"), F.col("t").alias("title"), "ts").filter("title <> ''")
     return a.groupBy("outlet", "title").agg(F.countDistinct(F.to_date("ts")).alias("days"), F.count("*").alias("stories")).filter("stories > 1")
 
 
