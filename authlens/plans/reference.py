@@ -251,7 +251,7 @@ def verdicts_by_likeness(spark, d):
     return s.groupBy(F.floor(F.col("score") * 10).cast("int").alias("step")).agg(F.sum("label").alias("yes"), F.sum(1 - F.col("label")).alias("no"))
 
 
-_STRATA = f"""{_VOTES}, lab as (select item, max(label) as label from (select item, label, count(*) as n, row_number() over (partition by item order by count(*) desc, label) as k from usable where task = 'relevance' group by all) where k = 1 group by item),
+_STRATA = f"""{_VOTES}, lab as (select item, max(label) as label from (select item, label, count(*) as n, row_number() over (partition by item order by count(*) desc, label) as k from usable where task = 'relevance' group by item, label) where k = 1 group by item),
 art as (select id, min(url) as url, coalesce(bool_or(relevant), false) as kept, coalesce(min(source), '') as source from articles group by id), st as (select case when kept then 'kept' else source end as stratum, 1.0 as weight, l.label = 'true' as yes from art left join lab l on l.item = art.url),
 g as (select st.stratum, sum(st.weight)::double as size, count(st.yes) as labelled, sum(coalesce(st.yes::int, 0))::bigint as yes from st group by stratum)"""
 
