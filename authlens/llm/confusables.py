@@ -13,7 +13,7 @@ import unicodedata
 from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Letters of other scripts and the Latin letter each looks like.
@@ -63,9 +63,11 @@ def _one_script(word: re.Match) -> str:
     found = {script(c) for c in text} - {""}
     if len(found) < 2:
         return text
-    if "LATIN" not in found:
-        return "".join(PROTOTYPE.get(c, c) for c in text) if all(c in PROTOTYPE or not script(c) for c in text) else text
-    return "".join(c if script(c) in ("LATIN", "") else PROTOTYPE.get(c, c) for c in text)
+    # a word that mixes scripts becomes its skeleton's letters, if these are of one script
+    alike = unicodedata.normalize("NFC", skeleton(text) or "")
+    if len({script(c) for c in alike} - {""}) < 2:
+        return alike
+    return text if "LATIN" not in found else "".join(c if script(c) in ("LATIN", "") else PROTOTYPE.get(c, c) for c in text)
 
 
 def clean(text: str | None) -> str | None:
@@ -89,11 +91,10 @@ def skeleton(text: str | None) -> str | None:
 
 
 def needs(text: str | None) -> bool:
-    """Whether a text has a character that stands in for another or cannot be seen."""
+    """Whether a text differs from the form its skeleton gives it, or has an accent that joins no letter, or a word of two scripts that no prototype brings to one."""
     if text is None or text.isascii() and text.isprintable():
         return False
-    seen = unicodedata.normalize("NFC", "".join(map(visible, text)))
-    return seen != text or any("̀" <= c <= "ͯ" for c in text) or mixed(seen)
+    return clean(text) != text or any("\u0300" <= c <= "\u036f" for c in text) or mixed(text)
 
 
 def _forms(values: pd.Series) -> pd.DataFrame:
@@ -107,7 +108,7 @@ def _forms(values: pd.Series) -> pd.DataFrame:
 def with_forms(df: DataFrame, value: str) -> DataFrame:
     """Adds ``clean``, ``skeleton`` and ``needed``. Plain values never leave the JVM; nulls give null, null, false.
 
-    ``needed``: the value has width or compatibility forms of letters, digits or ideographs, accents apart from their
+    ``needed``: the value differs from the form made of its skeleton, that is, it has width or compatibility forms of letters, digits or ideographs, accents apart from their
     letter, spaces other than U+0020, invisible characters, or a word of two look-alike scripts. Equal values give equal forms.
     """
     forms_of = F.pandas_udf(_forms, "struct<clean: string, skeleton: string, needed: boolean>")
@@ -133,9 +134,3 @@ def look_alikes(values: DataFrame, value: str = "value") -> DataFrame:
     """Groups of different originals of one skeleton: skeleton, forms (different originals), rows, clean (of the smallest original). Partial sums by original come first, so a value that fills a third of the rows is one row a task."""
     each = with_forms(values.filter(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("rows")), value)
     return each.groupBy("skeleton").agg(F.count("*").alias("forms"), F.sum("rows").alias("rows"), F.min_by("clean", value).alias("clean")).filter("forms > 1")
-
-
-def key_of(c: Column | str) -> Column:
-    """Comparison key in the JVM for text that is already clean: lower case, marks dropped."""
-    c = F.col(c) if isinstance(c, str) else c
-    return F.lower(c)

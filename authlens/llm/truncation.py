@@ -29,23 +29,29 @@ def ends_sentence(c: Column) -> Column:
 
 
 def _shape(docs: DataFrame, text: str) -> DataFrame:
-    """What the end of a text shows. Only its last line and last words matter here, so 400 characters are kept of it; lengths are the whole text's."""
+    """What the last line and the end of a text show. Patterns of the end read the last 400 characters, where they all lie; a line's beginning and length are the whole line's, lengths the whole text's."""
     white = F.lit(" \t\n\r\x0b\x0c\u00a0\u3000")
     d = docs.withColumn("_all", F.rtrim(F.col(text), white)).filter(F.col("_all") != "")
     d = d.select(
         *[c for c in docs.columns if c != text], F.length(text).alias("_full"), F.octet_length(text).alias("_bytes"),
         (~F.col("_all").contains("\n")).alias("_one"), F.length("_all").alias("_n"), F.right("_all", F.lit(400)).alias("_t"),
+        F.substring_index(F.translate("_all", "\r", "\n"), "\n", -1).alias("_line"),
     )
     d = d.withColumn("_dots", F.col("_t").rlike(DOTS + r"[\"'”’»)]*$")).withColumn("_broken", F.col("_t").rlike(BROKEN))
-    d = d.withColumn("_ended", ends_sentence(F.col("_t")) & ~F.col("_broken")).withColumn("_line", F.substring_index(F.translate("_t", "\r", "\n"), "\n", -1))
-    d = d.withColumn("_inner", F.col("_t").rlike(f"{STOP}[\\s{CLOSE[1:-1]}]+\\S")).drop("_t")
-    d = d.withColumn("_bare", F.trim(F.regexp_replace(F.regexp_replace("_line", DOTS + r".{0,2}$", ""), r"\d+", "0")))
-    d = d.withColumn("_w", F.split("_bare", r"\s+")).withColumn("_after", F.split(F.element_at(F.split("_bare", STOP), -1), r"\s+"))
-    d = d.withColumn("_after", F.filter("_after", lambda x: x != ""))
+    d = d.withColumn("_ended", ends_sentence(F.col("_t")) & ~F.col("_broken"))
+    d = d.withColumn("_inner", F.col("_t").rlike(f"{STOP}[\\s{CLOSE[1:-1]}]+\\S"))
+    d = d.withColumns({"_item": F.col("_line").rlike(ITEM), "_label": F.col("_line").rlike(LABEL), "_dense": F.col("_line").rlike(DENSE), "_short": F.length("_line") < 80})
+    ground = lambda c: F.trim(F.regexp_replace(F.regexp_replace(c, DOTS + r".{0,2}$", ""), r"\d+", "0"))
+    # the line's own first two words; the rest of a line of many pages is not split
+    head = F.split(F.trim("_line"), r"\s+", 3)
+    d = d.withColumn("_w", F.split(ground(F.concat_ws(" ", F.slice(head, 1, 2))), r"\s+"))
+    d = d.withColumn("_end", ground(F.substring_index(F.translate("_t", "\r", "\n"), "\n", -1)))
+    d = d.withColumn("_style", F.col("_end").rlike("[”’»]$") | F.right("_line", F.lit(400)).rlike(f"{STOP}{CLOSE}*(?:…+|……)$|[”’»]$"))
+    d = d.withColumn("_after", F.filter(F.split(F.element_at(F.split("_end", STOP), -1), r"\s+"), lambda x: x != ""))
     return d.select(
-        "*", F.element_at("_w", 1).alias("_first"), F.element_at("_w", -1).alias("_last"), F.concat_ws(" ", F.slice("_w", 1, 2)).alias("_two"),
+        "*", F.element_at("_w", 1).alias("_first"), F.element_at(F.split("_end", r"\s+"), -1).alias("_last"), F.concat_ws(" ", F.slice("_w", 1, 2)).alias("_two"),
         F.concat_ws(" ", F.slice("_after", F.greatest(F.size("_after") - 1, F.lit(1)), F.lit(2))).alias("_tail"),
-    ).drop("_w", "_after", "_bare")
+    ).drop("_w", "_after", "_end", "_t", "_line")
 
 
 def spikes(shaped: DataFrame, source: str, least: int = 4, times: float = 4.0, near: int = 40, open_share: float = 0.7) -> DataFrame:
@@ -91,8 +97,8 @@ def truncated(docs: DataFrame, key: str = "doc_id", text: str = "text", source:
     # how lines begin in the whole corpus and whether they end a sentence, for the beginnings in question
     asked = d.filter(open_).select(F.explode(F.array_distinct(F.array("_first", "_two"))).alias("head")).distinct()
     lines = slim.filter(F.col("_text").isNotNull()).select(F.explode(F.split("_text", r"[\n\r]+")).alias("line"))
-    lines = lines.select(F.rtrim(F.right("line", F.lit(60))).alias("end"), F.split(F.trim(F.regexp_replace(F.left("line", F.lit(120)), r"\d+", "0")), r"\s+", 3).alias("w"))
-    heads = lines.select("end", F.explode(F.array_distinct(F.array(F.element_at("w", 1), F.concat_ws(" ", F.slice("w", 1, 2))))).alias("head"))
+    lines = lines.select(F.rtrim("line").alias("end"), F.split(F.trim("line"), r"\s+", 3).alias("w"))
+    heads = lines.select("end", F.explode(F.array_distinct(F.transform(F.array(F.element_at("w", 1), F.concat_ws(" ", F.slice("w", 1, 2))), lambda x: F.regexp_replace(x, r"\d+", "0")))).alias("head"))
     heads = heads.join(asked, "head", "left_semi").groupBy("head").agg(F.count("*").alias("n"), F.sum((~ends_sentence(F.col("end"))).cast("int")).alias("open"))
     begins = F.when((F.col("open") >= seen) & (F.col("open") >= natural * F.col("n")), 1).when((F.col("n") >= 10 * seen) & (F.col("open") < 0.25 * F.col("n")), -1)
     heads = tmp.keep(heads.select("head", begins.alias("_k")).filter("_k is not null"), "heads")
@@ -101,7 +107,8 @@ def truncated(docs: DataFrame, key: str = "doc_id", text: str = "text", source:
     lasts = d.filter(open_ & ~F.col("_last").rlike(DENSE)).groupBy("_last").agg(F.count("*").alias("left"))
     words = slim.filter(F.col("_text").isNotNull()).select(F.explode(F.split("_text", r"[\s“”\"()]+")).alias("x"))
     words = words.select(F.rtrim("x", F.lit(".,;:!?。！？")).alias("_last"), F.col("x").rlike(r"[.!?。！？;,]$").alias("stop"))
-    lasts = words.join(lasts, "_last").groupBy("_last", "left").agg(F.count("*").alias("n"), F.sum(F.col("stop").cast("int")).alias("stops"))
+    # counted in each task first, so that what is shuffled is the words there are, not the words written
+    lasts = words.groupBy("_last").agg(F.count("*").alias("n"), F.sum(F.col("stop").cast("int")).alias("stops")).join(lasts, "_last")
     lasts = lasts.select(
         "_last", (F.col("stops") >= F.greatest(F.lit(1.0), 0.02 * F.col("n"))).alias("_final"),
         ((F.col("left") >= max(seen, often * n_open / 10)) & (F.col("left") >= natural * F.col("n"))).alias("_kl"),
@@ -111,11 +118,11 @@ def truncated(docs: DataFrame, key: str = "doc_id", text: str = "text", source:
     yes = lambda c: F.coalesce(F.col(c), F.lit(False))
     known = (F.coalesce("_k1", F.lit(0)) > 0) | (F.coalesce("_k2", F.lit(0)) > 0) | yes("_kl")
     opener = (F.coalesce("_k1", F.lit(0)) < 0) | (F.coalesce("_k2", F.lit(0)) < 0)
-    credit = F.col("_line").rlike(ITEM) | known | F.col("_line").rlike(LABEL)
-    name_end = F.col("_last").rlike(r"^\p{Lu}") & (F.length("_line") < 80)
-    headline = F.col("_one") & ~F.col("_inner") & (F.col("_n") < 200) & ~F.col("_line").rlike(DENSE) & (known | (~opener & (yes("_final") | name_end)))
+    credit = F.col("_item") | known | F.col("_label")
+    name_end = F.col("_last").rlike(r"^\p{Lu}") & F.col("_short")
+    headline = F.col("_one") & ~F.col("_inner") & (F.col("_n") < 200) & ~F.col("_dense") & (known | (~opener & (yes("_final") | name_end)))
     # dots after the mark that ended a sentence, or inside a closing quotation, are style
-    style = yes("_kt") | F.col("_line").rlike(f"{STOP}{CLOSE}*(?:…+|……)$|[”’»]$")
+    style = yes("_kt") | F.col("_style")
     reason = (
         F.when(F.col("_broken"), "broken").when(F.col("_limit"), "limit").when(F.col("_dots"), F.when(~style, "dots"))
         .when(~F.col("_ended"), F.when(F.when(F.col("_one"), ~headline).otherwise(~credit), "open"))
