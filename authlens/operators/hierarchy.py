@@ -13,7 +13,7 @@ TO_PARENT = ("BT", "USE", "CHITOENG", "MAYTOENG", "TAMTOENG")
 TO_CHILD = "NT"
 
 
-def hierarchy(edges: DataFrame, max_levels: int | None = None, paths: bool = True) -> DataFrame:
+def hierarchy(edges: DataFrame, paths: bool = True) -> DataFrame:
     """Path, depth and root of every node with a parent.
 
     ``edges``: scope, child, parent (STRING). Of several parents of one child the smallest is taken; rows with a null
@@ -22,7 +22,7 @@ def hierarchy(edges: DataFrame, max_levels: int | None = None, paths: bool = Tru
     count from the node of the ring that the branch hangs from.
 
     Trees grow level by level from the roots: the frontier (nodes placed last) joins the edges on the parent, so a
-    level costs one join and every edge is placed once. A hot parent is spread by the skew handling of the adaptive
+    level costs one join and every edge is placed once; there is no limit to the number of levels. A hot parent is spread by the skew handling of the adaptive
     planner, as the frontier holds each parent once. Edges never reached lie on a ring or below one; there, pointers
     are doubled with the smallest node seen, until every pointer stands on a ring and no minimum changes, which takes
     log2(longest walk) joins whatever the ring.
@@ -33,7 +33,7 @@ def hierarchy(edges: DataFrame, max_levels: int | None = None, paths: bool = Tru
     )
     heads = e.select("scope", F.col("parent").alias("node")).distinct().join(e.select("scope", F.col("child").alias("node")), ["scope", "node"], "left_anti")
     frontier = heads.select("scope", "node", F.col("node").alias("root"), *([F.array("node").alias("path")] if paths else []))
-    kept = _levels(e, frontier, tmp, max_levels, paths, "level")
+    kept = _levels(e, frontier, tmp, paths, "level")
     tree = None
     for x in kept:
         tree = x if tree is None else tree.unionByName(x)
@@ -47,25 +47,36 @@ def hierarchy(edges: DataFrame, max_levels: int | None = None, paths: bool = Tru
     if paths:
         below = rings.filter("cycle = 'below'").select("scope", F.col("node").alias("child"), "parent")
         hooks = rings.filter("cycle = 'on'").select("scope", "node", "root", F.array("node").alias("path"))
-        for x in _levels(below, hooks, tmp, max_levels, paths, "below"):
+        for x in _levels(below, hooks, tmp, paths, "below"):
             out = out.unionByName(x.withColumn("cycle", F.lit("below")).select(shape))
     return out.select(shape)
 
 
-def _levels(rest: DataFrame, frontier: DataFrame, tmp: Scratch, max_levels: int | None, paths: bool, name: str) -> list[DataFrame]:
-    """Tables of the edges reached from the frontier (scope, node, root, path), one a level."""
-    kept, level = [], 0
-    while max_levels is None or level < max_levels:
+def _levels(rest: DataFrame, frontier: DataFrame, tmp: Scratch, paths: bool, name: str) -> list[DataFrame]:
+    """Tables of the edges reached from the frontier (scope, node, root, path), one a level. Edges placed leave the rest whenever they are half of it, so that a deep tree is not read whole at each level."""
+    kept, level, since, left = [], 0, [], rest.count()
+    while True:
         level += 1
         f = frontier.select("scope", F.col("node").alias("parent"), "root", *([F.col("path").alias("_up")] if paths else []))
         found = rest.join(f, ["scope", "parent"]).select(
             "scope", F.col("child").alias("node"), "parent", "root", F.lit(level).alias("depth"), *([F.concat("_up", F.array("child")).alias("path")] if paths else [])
         )
         found = tmp.keep(found, f"{name}{level}")
-        if found.isEmpty():
+        n = found.count()
+        if not n:
             break
         kept.append(found)
+        since.append((found, n))
         frontier = found
+        placed = sum(k for _, k in since)
+        if 2 * placed > left:
+            gone = since[0][0].select("scope", F.col("node").alias("child"))
+            for x, _ in since[1:]:
+                gone = gone.unionByName(x.select("scope", F.col("node").alias("child")))
+            rest = tmp.keep(rest.join(gone, ["scope", "child"], "left_anti"), f"{name}rest{level}")
+            left, since = left - placed, []
+            if not left:
+                break
     return kept
 
 

@@ -23,7 +23,7 @@ def _trees(spark, d, paths):
 
 
 def p2_found(spark, d):
-    return _trees(spark, d, False).select("tree", F.col("node").alias("uid"), F.col("root").alias("root_uid"))
+    return _trees(spark, d, True).select("tree", F.col("node").alias("uid"), F.col("root").alias("root_uid"))
 
 
 def p2_paths(spark, d):
@@ -92,4 +92,7 @@ SQL = {
     "p2_found": _TREES + "select tree, node as uid, root as root_uid from tops",
     "p2_descendants": _TREES + ", pairs as (select tree, scope, unnest(seen[2:]) as uid, generate_subscripts(seen[2:], 1) as distance from tops where not ring)"
     " select tree, uid, count(*) as descendants, max(distance)::int as height from pairs group by all",
+    "p2_paths": _TREES + ", up as (select *, list_position(seen, seen[-1]) as p from tops) select tree, node as uid, seen[2] as parent, root, (case when not ring then len(seen) - 1 when p > 1 then p - 1 end)::int as depth,"
+    " case when not ring then array_to_string(list_reverse(seen), '/') when p > 1 then array_to_string(list_reverse(seen[1:p]), '/') end as path, case when not ring then 'no' when p > 1 then 'below' else 'on' end as cycle from up",
+    "p2_ancestors": _TREES + ", up as (select tree, scope, node, case when ring then seen[2:list_position(seen, seen[-1])] else seen[2:] end as a from tops) select tree, unnest(a) as ancestor, node as uid, generate_subscripts(a, 1)::int as distance from up",
 }
