@@ -355,10 +355,12 @@ def accounting(spark, d):
     return review.account_for(c, c.filter(F.col("strategy").isin("APPEND", "OVERWRITE")))
 
 
-@query("select id, extracted_id, matched_uid from candidate_matches where matched_uid is not null and not coalesce(list_contains([c.uid for c in candidates], matched_uid), false)")
+@query("select id, extracted_id, matched_uid from candidate_matches where matched_uid is not null and not coalesce(list_contains([c.uid for c in candidates if c.similarity >= 0.5], matched_uid), false)")
 def unoffered_matches(spark, d):
+    """Matches that were not among the candidates of half a likeness or more."""
     m = table(spark, d, "candidate_matches").filter("matched_uid is not null")
-    return m.filter(~F.coalesce(F.array_contains(F.transform("candidates", lambda c: c["uid"]), F.col("matched_uid")), F.lit(False))).select("id", "extracted_id", "matched_uid")
+    offered = F.transform(F.filter("candidates", lambda c: c["similarity"] >= 0.5), lambda c: c["uid"])
+    return m.filter(~F.coalesce(F.array_contains(offered, F.col("matched_uid")), F.lit(False))).select("id", "extracted_id", "matched_uid")
 
 
 @query("select distinct id, c.uid as uid, c.similarity as similarity from (select id, unnest(candidates) as c, list_max([x.similarity for x in candidates]) as best from candidate_matches) where best - c.similarity <= 0.25")
@@ -429,16 +431,22 @@ def next_snapshot(spark, d):
 
 
 @query("""
-with w as (select doc_id, list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') as w from documents where text is not null),
+with c as (select doc_id, text from documents where text is not null union all select -id, evidence from extracted_entities where evidence is not null),
+w as (select doc_id, list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') as w from c),
 g as (select distinct doc_id, array_to_string(w[i:i + n - 1], ' ') as phrase from (select doc_id, w, n, unnest(range(1, len(w)::bigint - n + 2)) as i from w, (values (2), (3), (4), (5), (6)) t(n))),
 f as (select distinct uid, array_to_string(list_filter(regexp_split_to_array(lower(name), '[^\\p{L}\\p{N}]+'), lambda x: x <> ''), ' ') as phrase from entities where name is not null)
 select uid, count(*) as documents, min(doc_id) as first_doc from g join f using (phrase) where phrase like '% %' group by uid""")
 def gazetteer(spark, d):
+    """Records' names of 2 to 6 words in documents and evidence (ids below 0). Texts are taken apart into pairs of neighbouring words only; a pair that begins a name brings the name, which is then held against what follows."""
+    e = table(spark, d, "extracted_entities").filter("evidence is not null").select((-F.col("id")).alias("doc_id"), F.col("evidence").alias("text"))
+    docs = table(spark, d, "documents").filter("text is not null").select("doc_id", "text").unionByName(e)
     # exploding an array of one array makes the words a column that is there once
-    docs = table(spark, d, "documents").filter("text is not null").select("doc_id", F.explode(F.array(T.words(F.col("text")))).alias("w"))
-    docs = docs.select("doc_id", F.explode(T.word_runs("w")).alias("phrase")).distinct()
-    names = table(spark, d, "entities").filter("name is not null").select("uid", F.array_join(T.words(F.col("name")), " ").alias("phrase")).filter("phrase like '% %'").distinct()
-    return docs.join(names, "phrase").groupBy("uid").agg(F.count("*").alias("documents"), F.min("doc_id").alias("first_doc"))
+    docs = docs.select("doc_id", F.explode(F.array(T.words(F.col("text")))).alias("w")).filter("size(w) > 1")
+    pairs = docs.select("doc_id", "w", F.explode(F.sequence(F.lit(1), F.size("w") - 1)).alias("at")).select("doc_id", F.concat_ws(" ", F.slice("w", F.col("at"), 2)).alias("head"), F.slice("w", F.col("at"), 6).alias("run"))
+    names = table(spark, d, "entities").filter("name is not null").select("uid", T.words(F.col("name")).alias("n")).filter("size(n) between 2 and 6").distinct()
+    names = names.withColumn("head", F.concat_ws(" ", F.slice("n", 1, 2)))
+    hit = pairs.join(names, "head").filter(F.slice("run", F.lit(1), F.size("n")) == F.col("n"))
+    return hit.select("uid", "doc_id").distinct().groupBy("uid").agg(F.count("*").alias("documents"), F.min("doc_id").alias("first_doc"))
 
 
 @query()
@@ -514,8 +522,9 @@ def source_lengths(spark, d):
     return total.join(mid, total["source"].eqNullSafe(mid["source"]), "left").select(total["source"], "texts", F.coalesce("held", F.lit(0)).alias("held"), "shortest", "middle")
 
 
-@query()
+@query("select arg_min(id, (created_at, id)) as id, url from articles where url is not null group by url")
 def stream_first_urls(spark, d):
-    from ..streaming.ingest import first_urls
+    from ..scratch import Scratch
+    from ..streaming.ingest import ingest_once
 
-    return first_urls(spark, f"{d}/articles.parquet")
+    return ingest_once(spark, f"{d}/articles.parquet", Scratch(spark, "ingest").path("place")).select("id", "url")

@@ -2,7 +2,8 @@
 
 Iterative operators cut lineage by writing a Parquet table and reading it back, which survives the loss of an
 executor and gives the planner true sizes. The folder is the session's ``spark.checkpoint.dir``; only where that
-is unset (tests, a laptop) a local one is made.
+is unset on a local master (tests, a laptop) a local one is made; on a cluster that is an error, as executors would
+write to disks that the others cannot read.
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _own: dict[str, str] = {}
+#: Folders of the operators run so far, which :func:`clean` removes.
+_made: list[str] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -22,6 +25,8 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir is not set: intermediate tables need a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own:
         _own[app] = tempfile.mkdtemp(prefix="authlens-")
@@ -35,6 +40,7 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str) -> None:
         self.spark = spark
         self.root = f"{shared_folder(spark)}/authlens/{name}-{uuid.uuid4().hex[:12]}"
+        _made.append(self.root)
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -44,5 +50,25 @@ class Scratch:
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
     def drop(self, name: str) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(self.spark, self.path(name))
+
+
+def _path(spark: SparkSession, name: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _delete(spark: SparkSession, name: str) -> None:
+    path, system = _path(spark, name)
+    system.delete(path, True)
+
+
+def exists(spark: SparkSession, name: str) -> bool:
+    path, system = _path(spark, name)
+    return system.exists(path)
+
+
+def clean(spark: SparkSession) -> None:
+    """Removes the tables of all operators run so far. Results that were not yet written or collected read them, so call it after."""
+    while _made:
+        _delete(spark, _made.pop())
