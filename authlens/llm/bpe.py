@@ -10,6 +10,7 @@ place from which no token leads on is marked and never tried again, so each plac
 from __future__ import annotations
 
 import base64
+import hashlib
 from collections.abc import Iterator
 
 import ahocorasick
@@ -107,21 +108,24 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in lines if line.strip())}
 
 
-_made: dict[int, Encoder] = {}
+_made: dict[str, Encoder] = {}
 
 
-def _encoder(ranks) -> Encoder:
-    """One encoder a Python worker and vocabulary."""
-    key = getattr(ranks, "_jid", None) or id(ranks)
+def _encoder(vocabulary) -> Encoder:
+    """One encoder a Python worker and vocabulary, known by the vocabulary's name and digest."""
+    key, ranks = vocabulary.value
     if key not in _made:
         _made.clear()
-        _made[key] = Encoder(ranks.value)
+        _made[key] = Encoder(ranks)
     return _made[key]
 
 
 def _vocabulary(spark: SparkSession, name: str, folder: str):
     """The vocabulary goes out once, as a broadcast: about a megabyte whatever the corpus."""
-    return spark.sparkContext.broadcast(read_ranks(f"{folder}/{name}.tiktoken"))
+    path = f"{folder}/{name}.tiktoken"
+    with open(path, "rb") as f:
+        digest = hashlib.sha256(f.read()).hexdigest()
+    return spark.sparkContext.broadcast((f"{name}:{digest}", read_ranks(path)))
 
 
 def with_ids(docs: DataFrame, text: str = "text", out: str = "ids", name: str = "byte_bpe_50k", folder: str = TOKENIZERS) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -96,11 +95,3 @@ def consensus(votes: DataFrame, skill: DataFrame, prior: float = 0.6) -> DataFra
             F.when(F.col("votes") > 1, F.col("same") / (F.col("votes") * (F.col("votes") - 1))).alias("agreement"), (1 / F.col("odds")).alias("confidence"),
         )
     )
-
-
-def by_hand(rows: list[tuple[str, str, str, str]]) -> pd.DataFrame:
-    """Majority vote of (task, item, labeller, label), for comparison in tests."""
-    df = pd.DataFrame(rows, columns=["task", "item", "labeller", "label"])
-    return df.groupby(["task", "item"]).label.agg(lambda x: sorted(x, key=lambda v: (-list(x).count(v), v))[0]).reset_index()
-
-

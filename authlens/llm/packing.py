@@ -198,3 +198,12 @@ def pack(items: DataFrame, containers: DataFrame, item: str = "doc_id", size: st
     )
     none = every.filter("_size = 0").withColumn("container", F.lit(None).cast("long")).withColumn("part", F.lit(0)).withColumn("_here", F.lit(0).cast("long"))
     return placed.select(shape).unionByName(whole.select(shape)).unionByName(none.select(shape))
+
+
+def faults(packed: DataFrame, items: DataFrame, item: str = "doc_id", size: str = "tokens") -> DataFrame:
+    """size_name, overfull (containers above their capacity), split (items in parts though they fit), lost (items of any size whose parts do not add up): all 0 if the packing is right."""
+    full = packed.filter("container is not null").groupBy("size_name", "capacity", "container").agg(F.sum(size).alias("_s")).groupBy("size_name").agg(F.count(F.when(F.col("_s") > F.col("capacity"), 1)).alias("overfull"))
+    per = packed.groupBy("size_name", "capacity", item).agg(F.sum(size).alias("_s"), F.count("*").alias("_n")).join(items.select(item, F.coalesce(F.col(size).cast("long"), F.lit(0)).alias("_want")), item)
+    per = per.groupBy("size_name").agg(F.count(F.when((F.col("_n") > 1) & (F.col("_want") <= F.col("capacity")), 1)).alias("split"), F.count(F.when(F.col("_s") != F.col("_want"), 1)).alias("wrong"), F.count("*").alias("_all"))
+    total = F.broadcast(items.agg(F.count("*").alias("_items")))
+    return per.join(total, F.lit(True)).join(full, "size_name", "left").select("size_name", F.coalesce("overfull", F.lit(0)).alias("overfull"), "split", (F.col("wrong") + F.abs(F.col("_items") - F.col("_all"))).alias("lost"))

@@ -71,6 +71,12 @@ def spikes(shaped: DataFrame, source: str, least: int = 4, times: float = 4.0, n
     return h.filter(narrow | wide).select(source, "unit", F.col("n").alias("length")).distinct()
 
 
+def length_spikes(docs: DataFrame, text: str = "text", source: str = "source") -> DataFrame:
+    """source, unit, length of :func:`spikes` over whole texts; a null source is an empty one."""
+    slim = docs.select(F.coalesce(F.col(source), F.lit("")).alias("source"), F.col(text).alias("_text")).filter("_text is not null")
+    return spikes(_shape(slim, "_text"), "source").select("source", "unit", "length")
+
+
 def truncated(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", natural: float = 0.5, often: float = 0.02, seen: int = 3) -> DataFrame:
     """key, source, cut (BOOLEAN), reason of every text that is not blank; null, empty and blank texts were not cut.
 
