@@ -110,8 +110,19 @@ def url_parts(spark, d):
     return T.with_title_key(a, "title", "title_key").select("id", T.outlet(F.col("url")).alias("outlet"), T.section(F.col("url")).alias("section"), T.story_key(F.col("url")).alias("key"), "title_key")
 
 
+_TWICE = "twice as (select id, url, title, pubdate, created_at, relevant from articles union all select id + 100000000, url || '-again', title, pubdate + interval 1 day, created_at + interval 1 day, relevant from articles where id % 3 = 0)"
+
+
+def _twice(spark, d):
+    """The articles, every third again a day later at another address."""
+    a = table(spark, d, "articles").select("id", "url", "title", "pubdate", "created_at", "relevant")
+    day = F.expr("interval 1 day")
+    again = a.filter("id % 3 = 0").select((F.col("id") + 100000000).alias("id"), F.concat("url", F.lit("-again")).alias("url"), "title", (F.col("pubdate") + day).alias("pubdate"), (F.col("created_at") + day).alias("created_at"), "relevant")
+    return a.unionByName(again)
+
+
 @query(f"""
-with recursive {_STORY},
+with recursive {_TWICE}, {_STORY.replace("from articles", "from twice")},
 used as (select outlet, t from c where t <> '' group by all having count(distinct coalesce(ts::date, '0001-01-01'::date)) < 3),
 close as (select x.id, min(y.id) as to_ from c x join used using (outlet, t) join c y on y.outlet = x.outlet and y.t = x.t and y.id < x.id and abs(epoch_us(x.ts) - epoch_us(y.ts)) <= 2 * 86400000000 where x.t <> '' group by all),
 keyed as (select id, min(id) over (partition by key) as to_ from c where key is not null),
@@ -119,7 +130,7 @@ ptr as (select c.id, case when k.to_ < c.id then k.to_ else n.to_ end as to_ fro
 walk as (select id, id as seen from c union all select w.id, p.to_ from walk w join ptr p on p.id = w.seen where p.to_ is not null)
 select id, min(seen) as original from walk group by id""")
 def story_copies(spark, d):
-    return components.story_copies(table(spark, d, "articles"))
+    return components.story_copies(_twice(spark, d))
 
 
 @query("""
