@@ -162,6 +162,13 @@ def similarity(a: tuple[str, ...], b: tuple[str, ...], weight, extra_a: float =
     return got / total if total else 0.0
 
 
+def alike(a: str, b: str) -> float:
+    """:func:`near`, but short words that begin otherwise are two words, as syllables are, unless their letters are the same."""
+    if a[0] != b[0] and max(len(a), len(b)) < 6 and sorted(a) != sorted(b):
+        return 0.0
+    return near(a, b)
+
+
 def compatible(kind: str, a: tuple[str, ...], b: tuple[str, ...], common) -> bool:
     """Whether two names can be one: every word of one of them has a like word in the other, and enough words agree.
 
@@ -178,8 +185,8 @@ def compatible(kind: str, a: tuple[str, ...], b: tuple[str, ...], common) -> boo
             agree += 1
             firm += len(w) > 1
     for w in sorted(left, key=len, reverse=True):
-        best = max(right, key=lambda y: near(w, y), default="")
-        if best and near(w, best):
+        best = max(right, key=lambda y: alike(w, y), default="")
+        if best and alike(w, best):
             left.remove(w)
             right.remove(best)
             agree += 1

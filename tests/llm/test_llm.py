@@ -247,7 +247,7 @@ def test_total_of_brute_force(spark):
 
 
 def test_a_short_name_of_two_people_joins_none_of_their_names(spark):
-    rows = [(None, "t1", 1, 0), (None, "t1", 2, 0), (None, "t2", 2, 0), (None, "t2", 3, 0), (7, None, 4, 0), (7, None, 1, 1), (8, None, 4, 0), (8, None, 3, 1), (9, None, 4, 0), (9, None, 3, 1)]
+    rows = [(None, "t1", 1, 0), (None, "t1", 2, 0), (None, "t2", 2, 0), (None, "t2", 3, 0), (7, None, 4, 1), (7, None, 1, 0), (8, None, 4, 1), (8, None, 3, 0), (9, None, 4, 1), (9, None, 3, 0)]
     got = variants._own_names(spark.createDataFrame(rows, "mention long, thing string, id long, n int"))
     assert {(r.a, r.b) for r in got.collect()} == {(4, 3)}
 
