@@ -52,6 +52,10 @@ class Scratch:
     def drop(self, name: str) -> None:
         _delete(self.spark, self.path(name))
 
+    def release(self) -> None:
+        """Lets go of the shuffle files of jobs that have ended, which Spark keeps until the driver collects its garbage."""
+        self.spark._jvm.System.gc()
+
 
 def _path(spark: SparkSession, name: str):
     path = spark._jvm.org.apache.hadoop.fs.Path(name)

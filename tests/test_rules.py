@@ -200,3 +200,34 @@ def test_a_cluster_needs_a_shared_folder():
     cluster = SimpleNamespace(sparkContext=SimpleNamespace(getConf=lambda: conf, master="spark://host:7077", applicationId="x"), conf=conf)
     with pytest.raises(ValueError, match="checkpoint"):
         shared_folder(cluster)
+
+
+def test_exports_and_archives(spark, tmp_path):
+    import io
+    import zipfile
+
+    from authlens.sources import exports
+
+    head = "Key UID,Key Descriptor,Key Vocabulary,Relationship Type,Related UID,Related Descriptor,Related Vocabulary\n"
+    body = head + '1,"Mill, Old",_Organisations,Awards,,"Say ""hi"", all",\n1,"Mill, Old",_Organisations,Use,2,Guild,_Organisations\n'
+    (tmp_path / "csv").mkdir()
+    (tmp_path / "csv" / "TTE-ORGANISATIONS_FULL_20260603.csv").write_text("﻿" + body, encoding="utf-8")
+    (tmp_path / "csv" / "TTE-GHOSTS_FULL_20260603.csv").write_text(body, encoding="utf-8")
+    rows = exports.read_exports(spark, str(tmp_path / "csv")).orderBy("pos").collect()
+    assert [(r.entity_type, str(r.snapshot), r.key_uid, r.key_descriptor, r.related_uid, r.related_descriptor) for r in rows] == [
+        ("ORGANISATION", "2026-06-03", "1", "Mill, Old", None, 'Say "hi", all'), ("ORGANISATION", "2026-06-03", "1", "Mill, Old", "2", "Guild"),
+    ]
+    inner = io.BytesIO()
+    with zipfile.ZipFile(inner, "w") as z:
+        z.writestr("a/TTE-PEOPLE_FULL_20260603.csv", body)
+        z.writestr("deletes.csv", 'uid,why\n"7",x\n8,y\n')
+    with zipfile.ZipFile(tmp_path / "d.zip", "w") as z:
+        z.writestr("in.zip", inner.getvalue())
+        z.writestr("readme.txt", "x")
+        z.writestr("TTE-GHOSTS_FULL_20260603.csv", body)
+    (tmp_path / "bad.zip").write_bytes(b"no zip")
+    got = exports.expand_archives(spark, str(tmp_path))
+    assert {(r.archive, r.filename, r.kind, r.content is not None) for r in got.collect()} == {
+        ("d.zip", "TTE-PEOPLE_FULL_20260603.csv", "export", True), ("d.zip", "deletes.csv", "deletes", True), ("d.zip", "readme.txt", "skipped", False), ("d.zip", "TTE-GHOSTS_FULL_20260603.csv", "skipped", False), ("bad.zip", "bad.zip", "skipped", False),
+    }
+    assert {r.uid for r in exports.delete_list(got).collect()} == {"7", "8"}
