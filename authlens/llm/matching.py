@@ -264,7 +264,9 @@ def match(mentions: DataFrame, records: DataFrame, width: int = 5, floor: float
     spelt = F.col("rinitials").startswith(F.left("minitials", F.lit(1))) & (F.length("rinitials") > 2) & (F.length("minitials") < 3)
     near_ = near_.filter((shared >= 0.5 * fewer) | spelt).select("mention", "record", "mn", "n")
     text = lambda k, p: features.filter(F.col("side") == k).select(F.col("rid").alias("mention" if k == 0 else "record"), *([F.col("n").alias("mn")] if k == 0 else ["n"]), F.col("words").alias(f"{p}words"), F.col("facts").alias(f"{p}f"))
-    full = tmp.keep(near_, "pairs").join(text(0, "m"), ["mention", "mn"]).join(text(1, "r"), ["record", "n"])
+    near_ = tmp.keep(near_, "pairs")
+    tmp.release()
+    full = near_.join(text(0, "m"), ["mention", "mn"]).join(text(1, "r"), ["record", "n"])
     scored = full.mapInPandas(score, "rid long, record long, score double, agree int").groupBy("rid", "record").agg(F.max("score").alias("score"), F.max("agree").alias("agree"))
     scored = tmp.keep(scored.filter(F.col("score") >= floor).join(things.select(F.col("rid").alias("record"), F.col("root").alias("uid")), "record").select("rid", "uid", "score", "agree"), "scored")
     for done in ("placed", "pairs", "features"):
