@@ -234,7 +234,8 @@ def match(mentions: DataFrame, records: DataFrame, width: int = 5, floor: float
         things.select(F.lit(1).alias("side"), "rid", "kind", "names", F.col("fields").cast(shape), F.lit(None).cast("int").alias("year"))
     )
     features = tmp.keep(spread(both).mapInPandas(_features, FEATURES), "features")
-    pairs = neighbours(features.select("side", "rid", "n", F.explode("keys").alias("key")), tmp, width)
+    pairs = tmp.keep(neighbours(features.select("side", "rid", "n", F.explode("keys").alias("key")), tmp, width), "met")
+    tmp.release()
     # words of more than a two-thousandth of all names weigh less; there are few of them whatever the number of names
     total = max(features.count(), 1)
     often = features.select(F.explode(F.split("words", " ")).alias("w")).groupBy("w").agg(F.count("*").alias("n")).filter(F.col("n") >= max(COMMON_SHARE * total, 2)).collect()
@@ -269,7 +270,7 @@ def match(mentions: DataFrame, records: DataFrame, width: int = 5, floor: float
     full = near_.join(text(0, "m"), ["mention", "mn"]).join(text(1, "r"), ["record", "n"])
     scored = full.mapInPandas(score, "rid long, record long, score double, agree int").groupBy("rid", "record").agg(F.max("score").alias("score"), F.max("agree").alias("agree"))
     scored = tmp.keep(scored.filter(F.col("score") >= floor).join(things.select(F.col("rid").alias("record"), F.col("root").alias("uid")), "record").select("rid", "uid", "score", "agree"), "scored")
-    for done in ("placed", "pairs", "features"):
+    for done in ("placed", "met", "pairs", "features"):
         tmp.drop(done)
     return assign(m, scored, tmp, floor, margin)
 
