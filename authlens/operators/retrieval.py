@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -56,34 +61,121 @@ def trigram_pairs(left: DataFrame, right: DataFrame, floor: float = 0.3, tmp: Sc
     return full.select("kind", "lname", "rname", sim.alias("similarity")).filter(F.col("similarity") >= floor)
 
 
-#: Likeness down to which names are searched first; what has its candidates there needs no search further down.
-STEPS = (0.6, 0.45)
+#: Names of records that one task holds at once, names asked that it answers at least, and the most shares that the names asked of one kind are dealt into.
+HELD, ASKED, SHARES = 200_000, 10_000, 16
+#: A gram of more than one record in so many is kept as a row over all records, which is quicker to add than a list.
+DENSE = 32
+
+
+class Held:
+    """Names of records with their grams, searched one name at a time: grams shared with every record are counted, so nothing but the best leaves a task."""
+
+    def __init__(self, names: pa.Array, grams: pa.Array) -> None:
+        self.names, self.sizes = names, pc.list_value_length(grams).to_numpy(zero_copy_only=False).astype(np.int64)
+        self.vocabulary, g = np.unique(grams.flatten().to_numpy(zero_copy_only=False), return_inverse=True)
+        df = np.bincount(g, minlength=len(self.vocabulary))
+        self.ends = np.concatenate([[0], np.cumsum(df)]).tolist()
+        self.lists = np.repeat(np.arange(len(self.sizes), dtype=np.int32), self.sizes)[np.argsort(g, kind="stable")]
+        self.rows = {}
+        for i in np.flatnonzero(df > len(self.sizes) / DENSE).tolist():
+            self.rows[i] = np.zeros(len(self.sizes), np.uint8)
+            self.rows[i][self.list(i)] = 1
+        self.counts = np.zeros(len(self.sizes), np.uint8)
+
+    def list(self, i: int) -> np.ndarray:
+        return self.lists[self.ends[i] : self.ends[i + 1]]
+
+    def best(self, grams: np.ndarray, k: int, floor: float) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the ``k`` names most like the one with these grams, and their likeness in millionths; equals in the order of the names."""
+        n, at = len(grams), np.minimum(np.searchsorted(self.vocabulary, grams), len(self.vocabulary) - 1)
+        shared = self.counts if n < 256 else np.zeros(len(self.sizes), np.int32)
+        shared[:] = 0
+        for i in at[self.vocabulary[at] == grams].tolist():
+            if i in self.rows:
+                shared += self.rows[i]
+            else:
+                shared[self.list(i)] += 1
+        # at least floor of a name's own grams are shared, less what rounding to millionths forgives
+        c = np.flatnonzero(shared >= max(1, int(np.ceil((floor - 1e-6) * n))))
+        x = shared[c].astype(np.int64)
+        all_ = n + self.sizes[c] - x
+        like = (2_000_000 * x + all_) // (2 * all_)
+        c, like = c[like >= round(floor * 1e6)], like[like >= round(floor * 1e6)]
+        if len(c) > 8 * k:
+            least = np.partition(like, len(like) - k)[len(like) - k]
+            c, like = c[like >= least], like[like >= least]
+        first = np.lexsort((c, -like))[:k]
+        return c[first], like[first]
+
+
+def _search(k: int, floor: float):
+    """Batches of group, side (0 held, 1 asked), name, grams, sorted by group, side and name, to kind, lname, rname, millionths."""
+
+    def answers(held: Held, kind: str, asked: pa.RecordBatch) -> pa.RecordBatch:
+        sizes, grams = pc.list_value_length(asked.column("g")).to_numpy(zero_copy_only=False), asked.column("g").flatten().to_numpy(zero_copy_only=False)
+        found = [held.best(x, k, floor) for x in np.split(grams, np.cumsum(sizes)[:-1])]
+        l, r = np.repeat(np.arange(len(found)), [len(c) for c, _ in found]), np.concatenate([c for c, _ in found])
+        cols = [pa.array([kind] * len(l), pa.string()), asked.column("name").take(pa.array(l)), held.names.take(pa.array(r)), pa.array(np.concatenate([x for _, x in found]), pa.int64())]
+        return pa.RecordBatch.from_arrays(cols, ["kind", "lname", "rname", "millionths"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, parts, held = None, [], None
+        for b in batches:
+            runs, start = pc.run_end_encode(b.column("group")), 0
+            for g, end in zip(runs.values.to_pylist(), runs.run_ends.to_pylist(), strict=True):
+                if g != group:
+                    group, parts, held = g, [], None
+                own = b.slice(start, end - start)
+                cut = int(np.searchsorted(own.column("side").to_numpy(), 1))
+                if cut:
+                    parts.append(own.slice(0, cut))
+                if cut < len(own):
+                    if held is None and parts:
+                        held, parts = Held(pa.concat_arrays([p.column("name") for p in parts]), pa.concat_arrays([p.column("g") for p in parts])), []
+                    if held is not None:
+                        yield answers(held, g.split(":", 2)[2], own.slice(cut))
+                start = end
+
+    return run
+
+
+def nearest_names(asked: DataFrame, held: DataFrame, k: int, floor: float, tmp: Scratch) -> DataFrame:
+    """kind, lname, rname, similarity: for each name asked the ``k`` most similar names held of its kind in each block of ``HELD``, which has the ``k`` of all among them.
+
+    A task holds one block of names and answers one share of the names asked of that kind, so what goes between tasks is names and at most ``k`` answers to each, never pairs. Names without a gram
+    match nothing, nor do null names and kinds.
+    """
+    names = asked.select("kind", "name", F.lit(1).alias("side")).unionAll(held.select("kind", "name", F.lit(0).alias("side"))).filter("kind is not null and name is not null").distinct()
+    names = tmp.keep(names, "names")
+    n = lambda side: F.count(F.when(F.col("side") == side, 1))
+    dealt = names.groupBy("kind").agg(n(0).alias("_h"), n(1).alias("_a")).filter("_h > 0 and _a > 0")
+    dealt = dealt.select("kind", F.ceil(F.col("_h") / HELD).cast("int").alias("_h"), F.least(F.ceil(F.col("_a") / ASKED), F.lit(SHARES)).cast("int").alias("_a"))
+    every = lambda c: F.sequence(F.lit(0), F.col(c) - 1)
+    one = lambda c: F.array(F.pmod(F.xxhash64("name"), F.col(c)).cast("int"))
+    x = names.join(F.broadcast(dealt), "kind").withColumn("_b", F.explode(F.when(F.col("side") == 0, one("_h")).otherwise(every("_h")))).withColumn("_s", F.explode(F.when(F.col("side") == 0, every("_a")).otherwise(one("_a"))))
+    x = x.select(F.concat_ws(":", "_b", "_s", "kind").alias("group"), "side", "name")
+    spark = asked.sparkSession
+    tasks = max(8 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    x = x.repartition(tasks, "group").sortWithinPartitions("group", "side", "name")
+    # grams are made where they are used: names are shorter
+    x = x.withColumn("g", F.transform(grams(F.col("name")), lambda t: F.xxhash64(t))).filter("size(g) > 0")
+    found = x.mapInArrow(_search(k, floor), "kind string, lname string, rname string, millionths long")
+    return found.select("kind", "lname", "rname", (F.col("millionths") / F.lit(1e6)).alias("similarity"))
 
 
 def top_candidates(queries: DataFrame, records: DataFrame, k: int = 5, floor: float = 0.3) -> DataFrame:
     """id, uid, name, similarity, place: the ``k`` most similar names of active records of the query's kind, by similarity, name, uid.
 
     ``queries``: id, kind, name; ``records``: uid, kind, name, is_active, canonical_uid. uid is that of the record the name leads to; a name that leads to no record of the table
-    keeps its place and gives no row. A search down to a high likeness is cheap, so names are searched in steps: those with ``k`` candidates at one step are done, as nothing below can
-    come before these.
+    keeps its place and gives no row.
     """
     tmp = Scratch(queries.sparkSession, "candidates")
-    live = tmp.keep(records.filter("is_active").select("uid", "kind", F.col("name").alias("rname"), F.coalesce("canonical_uid", "uid").alias("canonical")), "live")
-    names = live.select("kind", F.col("rname").alias("name"))
-    rest = tmp.keep(queries.select("kind", "name").filter("name is not null").distinct(), "asked")
+    live = records.filter("is_active").select("uid", "kind", F.col("name").alias("rname"), F.coalesce("canonical_uid", "uid").alias("canonical"))
+    hits = nearest_names(queries, live.select("kind", F.col("rname").alias("name")), k, floor, tmp).join(live, ["kind", "rname"])
     w = Window.partitionBy("kind", "lname").orderBy(F.col("similarity").desc(), "rname", "uid")
-    found = None
-    steps = [*[s for s in STEPS if s > floor], floor]
-    for i, step in enumerate(steps):
-        hits = trigram_pairs(rest, names, step, tmp).join(live, ["kind", "rname"])
-        best = tmp.keep(hits.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= k), f"best{i}")
-        if i + 1 < len(steps):
-            done = best.filter(F.col("place") == k).select("kind", F.col("lname").alias("name"))
-            best = best.join(done.withColumnRenamed("name", "lname"), ["kind", "lname"], "left_semi")
-            rest = tmp.keep(rest.join(done, ["kind", "name"], "left_anti"), f"rest{i}")
-        found = best if found is None else found.unionByName(best)
+    best = hits.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= k)
     there = records.select(F.col("uid").alias("canonical")).distinct()
-    found = found.join(there, "canonical", "left_semi")
+    found = tmp.keep(best.join(there, "canonical", "left_semi"), "found")
     return queries.select("id", "kind", F.col("name").alias("lname")).join(found, ["kind", "lname"]).select("id", F.col("canonical").alias("uid"), F.col("rname").alias("name"), "similarity", "place")
 
 

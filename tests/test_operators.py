@@ -169,3 +169,39 @@ def test_intervals_hold_what_they_should(spark):
     groups = spark.createDataFrame([(120.0, 40, 30, True), (900.0, 60, 0, False), (50.0, 0, 0, False)], "size double, labelled long, yes long, kept boolean")
     r = evaluation.recall_range(groups, "kept").first()
     assert r.recall == 1.0 and 0.4 < r.lo < r.hi <= 1
+
+
+def test_search_moves_names_and_answers_not_pairs(spark):
+    """1,500 names that share most grams would be 2,250,000 pairs."""
+    names = [(f"u{i}", f"Harbour Guild Council {i}", "P", True, None) for i in range(1500)]
+    recs = spark.createDataFrame(names, "uid string, name string, kind string, is_active boolean, canonical_uid string")
+    asked = spark.createDataFrame([(i, "P", f"Harbour Guild Council {i}") for i in range(1500)], "id long, kind string, name string")
+    moved = lambda: spark._jsc.sc().statusStore().executorList(True).apply(0).totalShuffleWrite()
+    spark._jsc.sc().listenerBus().waitUntilEmpty()
+    before = moved()
+    rows = top_candidates(asked, recs).collect()
+    spark._jsc.sc().listenerBus().waitUntilEmpty()
+    assert moved() - before < 5_000_000
+    assert len(rows) == 7500 and {r.similarity for r in rows if r.place == 1} == {1.0}
+
+
+def test_search_in_blocks_and_shares(spark, monkeypatch):
+    from authlens.operators import retrieval
+
+    monkeypatch.setattr(retrieval, "HELD", 40)
+    monkeypatch.setattr(retrieval, "ASKED", 15)
+    rng = random.Random(5)
+    syl = "dre kal mun vor eth sha lin pol".split()
+    names = sorted({"".join(rng.choice(syl) for _ in range(3)) + " " + rng.choice(syl) for _ in range(150)} | {" ".join(f"{syl[i % 8]}{i}" for i in range(j, j + 90)) for j in (0, 5)})
+    recs = spark.createDataFrame([(f"{kind}{i:03}", n, kind, True, None) for kind in ("P:1", "Q") for i, n in enumerate(names) if (i % 2 or kind == "Q")], "uid string, name string, kind string, is_active boolean, canonical_uid string")
+    asked = [(i, kind, n) for i, n in enumerate(names) for kind in ("P:1", "Q", "R")] + [(999, "Q", "!!"), (998, None, "dre")]
+    got = {}
+    for r in top_candidates(spark.createDataFrame(asked, "id long, kind string, name string"), recs).collect():
+        got.setdefault((r.id, r.uid[:-3]), []).append((r.place, r.name, r.similarity))
+    want = {}
+    for i, kind, n in asked[:-2]:
+        held = [m for j, m in enumerate(names) if kind == "Q" or (kind == "P:1" and j % 2)]
+        sims = sorted((-round(len(grams(n) & grams(m)) / len(grams(n) | grams(m)), 6), m) for m in held)
+        if found := [(p, m, -s) for p, (s, m) in enumerate(sims[:5], 1) if -s >= 0.3]:
+            want[i, kind] = found
+    assert {k: sorted(v) for k, v in got.items()} == want
