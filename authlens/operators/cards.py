@@ -172,13 +172,14 @@ def derived(deltas: DataFrame, covered: DataFrame) -> DataFrame:
     return x.withColumn("result", N.result_of(F.lit("APPEND"), N.values(F.col("have")), F.col("fresh")))
 
 
-def find_records(asked: DataFrame, records: DataFrame) -> DataFrame:
-    """kind, name, uid, as_, nearest, nearest_uid: records of a type by name: the same name, a variant's own name, the same in house style, else the nearest by trigrams.
+def _own_names(records: DataFrame) -> DataFrame:
+    return records.filter("is_active and name is not null and kind is not null").filter("canonical_uid is null or canonical_uid = uid").select("kind", "uid", "name")
 
-    ``asked``: kind, name, different; ``records``: uid, kind, name, canonical_uid, is_active. ``as_`` is the record's name where it is written otherwise. Of equal names the smallest uid's counts; a record's own name comes before a variant's.
-    """
+
+def called_records(asked: DataFrame, records: DataFrame) -> DataFrame:
+    """kind, name, uid, as_ of :func:`find_records`, without the search for the nearest."""
     live = records.filter("is_active and name is not null and kind is not null")
-    own = live.filter("canonical_uid is null or canonical_uid = uid").select("kind", "uid", "name")
+    own = _own_names(records)
     label = own.select("kind", F.col("uid").alias("_uid"), F.col("name").alias("_label"))
     variants = live.filter("canonical_uid <> uid").select("kind", F.col("canonical_uid").alias("_uid"), "name").join(label, ["kind", "_uid"])
     keyed = own.select("kind", F.col("uid").alias("_uid"), F.col("name").alias("_label"), N.plain(F.col("name")).alias("_k"), F.lit(0).alias("_v")).unionByName(variants.select("kind", "_uid", "_label", N.plain(F.col("name")).alias("_k"), F.lit(1).alias("_v")))
@@ -187,7 +188,15 @@ def find_records(asked: DataFrame, records: DataFrame) -> DataFrame:
     q = asked.select("kind", "name").distinct().withColumn("_k", N.plain(F.col("name"))).withColumn("_h", N.house(F.col("name")))
     q = q.join(exact, ["kind", "_k"], "left").join(styled, ["kind", "_h"], "left")
     as_ = F.when(F.col("e_uid").isNotNull(), F.when(N.plain(F.col("e_label")) != F.col("_k"), F.col("e_label"))).otherwise(F.col("h_label"))
-    q = q.select("kind", "name", F.coalesce("e_uid", "h_uid").alias("uid"), as_.alias("as_"))
+    return q.select("kind", "name", F.coalesce("e_uid", "h_uid").alias("uid"), as_.alias("as_"))
+
+
+def find_records(asked: DataFrame, records: DataFrame) -> DataFrame:
+    """kind, name, uid, as_, nearest, nearest_uid: records of a type by name: the same name, a variant's own name, the same in house style, else the nearest by trigrams.
+
+    ``asked``: kind, name, different; ``records``: uid, kind, name, canonical_uid, is_active. ``as_`` is the record's name where it is written otherwise. Of equal names the smallest uid's counts; a record's own name comes before a variant's.
+    """
+    q, own = called_records(asked, records), _own_names(records)
     far = q.filter("uid is null").select(F.xxhash64("kind", "name").alias("id"), "kind", "name")
     near = top_candidates(far, own.withColumn("is_active", F.lit(True)).withColumn("canonical_uid", F.col("uid")), 1, NEAR_ENOUGH)
     near = far.join(near.select("id", F.col("name").alias("nearest"), F.col("uid").alias("nearest_uid")), "id").select("kind", "name", "nearest", "nearest_uid")
@@ -204,7 +213,7 @@ def linked_values(rows: DataFrame, records: DataFrame, key: str = "id") -> DataF
         kind = kind.when(F.col("field") == f, k)
     x = rows.withColumn("kind", kind.otherwise(None)).filter("kind is not null")
     e = x.select(key, "field", "kind", F.posexplode(N.values(F.col("value"))).alias("at", "v")).select("*", F.posexplode(N.tries_for(F.col("v"))).alias("turn", "name"))
-    found = find_records(e.select("kind", "name").distinct(), records).filter("uid is not null")
+    found = called_records(e.select("kind", "name").distinct(), records).filter("uid is not null")
     label = records.filter("is_active").select("kind", "uid", F.col("name").alias("_own"))
     found = found.join(label, ["kind", "uid"]).select("kind", "name", F.coalesce("as_", "_own").alias("called"))
     e = e.join(found, ["kind", "name"], "left").groupBy(key, "field", "at", "v").agg(F.min_by("called", F.when(F.col("called").isNotNull(), F.col("turn"))).alias("called"))

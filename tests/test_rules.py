@@ -231,3 +231,13 @@ def test_exports_and_archives(spark, tmp_path):
         ("d.zip", "TTE-PEOPLE_FULL_20260603.csv", "export", True), ("d.zip", "deletes.csv", "deletes", True), ("d.zip", "readme.txt", "skipped", False), ("d.zip", "TTE-GHOSTS_FULL_20260603.csv", "skipped", False), ("bad.zip", "bad.zip", "skipped", False),
     }
     assert {r.uid for r in exports.delete_list(got).collect()} == {"7", "8"}
+
+
+def test_linked_values_search_for_no_nearest_names(spark, monkeypatch):
+    def search(*_):
+        raise AssertionError("a search by trigrams of which nothing is used")
+
+    monkeypatch.setattr(C, "top_candidates", search)
+    recs = spark.createDataFrame([("1", "AWARD", "Singapore. Mill Medal", None, True), ("2", "AWARD", "Tide Prize", None, True)], "uid string, kind string, name string, canonical_uid string, is_active boolean")
+    rows = spark.createDataFrame([("a", "Awards", "mill medal (1999) | Tide Prise | tide prize"), ("a", "Title", "Dr")], "id string, field string, value string")
+    assert [(r.id, r.field, r.value) for r in C.linked_values(rows, recs).collect()] == [("a", "Awards", "Singapore. Mill Medal (1999) | Tide Prise | Tide Prize")]
