@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import pandas as pd
@@ -139,6 +140,73 @@ def replay_desks(cards: DataFrame, commands: DataFrame) -> DataFrame:
     return rows.mapInPandas(run, OUT)
 
 
+class Pile:
+    """The state of one labelling task. What can be dealt is found without passing over the items that cannot: labels stay, so a labeller's place among the shared items only moves on, and of the others those neither labelled nor held are kept as a heap."""
+
+    def __init__(self, shared: int) -> None:
+        self.most, self.order, self.shared, self.rest, self.place = shared, {}, [], [], {}
+        self.labels: dict[str, set[str]] = {}
+        self.holds: dict[str, tuple[str, object]] = {}
+        self.held: dict[str, str] = {}
+        self.last: dict[str, str | None] = {}
+        self.at: dict[str, int] = {}
+        #: Places in ``rest`` that may be free; holds by the time they end.
+        self.free: list[int] = []
+        self.ends: list[tuple[object, int]] = []
+
+    def add(self, item: str, ord_: int) -> None:
+        if item in self.order:
+            return
+        self.order[item] = ord_
+        if ord_ <= self.most:
+            self.shared.append(item)
+        else:
+            self.place[item] = len(self.rest)
+            heapq.heappush(self.free, len(self.rest))
+            self.rest.append(item)
+
+    def live(self, item: str | None, now) -> bool:
+        return item in self.holds and now < self.holds[item][1]
+
+    def give_back(self, who: str) -> bool:
+        """A labeller has one hold at most, run out or not; it is theirs until someone else takes the item."""
+        item = self.held.pop(who, None)
+        if item is None or self.holds.get(item, (None, None))[0] != who:
+            return False
+        del self.holds[item]
+        heapq.heappush(self.free, self.place[item])
+        return True
+
+    def take(self, who: str, now) -> str | None:
+        n = self.at.get(who, 0)
+        while n < len(self.shared) and who in self.labels.get(self.shared[n], ()):
+            n += 1
+        self.at[who], item = n, self.shared[n] if n < len(self.shared) else None
+        if item is None:
+            self.give_back(who)
+            while self.ends and self.ends[0][0] <= now:
+                heapq.heappush(self.free, heapq.heappop(self.ends)[1])
+            while self.free and item is None:
+                item = self.rest[heapq.heappop(self.free)]
+                item = None if item in self.labels or self.live(item, now) else item
+            if item is not None:
+                until = now + pd.Timedelta(minutes=HOLD)
+                self.holds[item], self.held[who] = (who, until), item
+                heapq.heappush(self.ends, (until, self.place[item]))
+        self.last[who] = item
+        return item
+
+    def save(self, item: str | None, who: str, now) -> bool:
+        others = bool(self.labels.get(item, set()) - {who}) or (self.live(item, now) and self.holds[item][0] != who)
+        done = item in self.order and (self.order[item] <= self.most or not others)
+        if done:
+            self.labels.setdefault(item, set()).add(who)
+            if item in self.holds and self.holds[item][0] == who:
+                del self.holds[item]
+                del self.held[who]
+        return done
+
+
 def replay_labelling(items: DataFrame, commands: DataFrame, shared: int) -> DataFrame:
     """task, seq, labeller, verb, item, done of take, save and release commands on evaluation items, in the order of (ts, seq) of each task.
 
@@ -152,38 +220,23 @@ def replay_labelling(items: DataFrame, commands: DataFrame, shared: int) -> Data
     rows = rows.repartition("task").sortWithinPartitions("task", "kind", "ts", "seq")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        name, order, labels, holds, last = None, {}, {}, {}, {}
+        name, pile = None, Pile(shared)
         for b in batches:
             out = []
             for task, kind, ts, seq, who, verb, item in b.itertuples(index=False, name=None):
                 if task != name:
-                    name, order, labels, holds, last = task, {}, {}, {}, {}
+                    name, pile = task, Pile(shared)
                 if kind == 0:
-                    order[item] = int(seq)
+                    pile.add(item, int(seq))
                     continue
-                live = lambda i: i in holds and ts < holds[i][1]  # noqa: B023, E731
                 if verb == "take":
-                    item = next((i for i, o in order.items() if o <= shared and who not in labels.get(i, ())), None)
-                    if item is None:
-                        for i in [i for i, (w, _) in holds.items() if w == who]:
-                            del holds[i]
-                        item = next((i for i, o in order.items() if o > shared and i not in labels and not live(i)), None)
-                        if item is not None:
-                            holds[item] = (who, ts + pd.Timedelta(minutes=HOLD))
-                    last[who], done = item, item is not None
+                    item = pile.take(who, ts)
+                    done = item is not None
                 elif verb == "save":
-                    item = item or last.get(who)
-                    others = bool(labels.get(item, set()) - {who}) or (live(item) and holds[item][0] != who)
-                    done = item in order and (order[item] <= shared or not others)
-                    if done:
-                        labels.setdefault(item, set()).add(who)
-                        if item in holds and holds[item][0] == who:
-                            del holds[item]
+                    item = item or pile.last.get(who)
+                    done = pile.save(item, who, ts)
                 else:
-                    mine = [i for i, (w, _) in holds.items() if w == who]
-                    for i in mine:
-                        del holds[i]
-                    done = bool(mine)
+                    done = pile.give_back(who)
                 out.append((task, seq, who, verb, item, bool(done)))
             yield pd.DataFrame(out, columns=["task", "seq", "labeller", "verb", "item", "done"])
 

@@ -241,3 +241,21 @@ def test_linked_values_search_for_no_nearest_names(spark, monkeypatch):
     recs = spark.createDataFrame([("1", "AWARD", "Singapore. Mill Medal", None, True), ("2", "AWARD", "Tide Prize", None, True)], "uid string, kind string, name string, canonical_uid string, is_active boolean")
     rows = spark.createDataFrame([("a", "Awards", "mill medal (1999) | Tide Prise | tide prize"), ("a", "Title", "Dr")], "id string, field string, value string")
     assert [(r.id, r.field, r.value) for r in C.linked_values(rows, recs).collect()] == [("a", "Awards", "Singapore. Mill Medal (1999) | Tide Prise | Tide Prize")]
+
+
+def test_labelling_pile_passes_over_nothing_twice():
+    """20,000 items beyond the shared ones; a hold that ran out, one given back and one that was labelled out of turn."""
+    import time
+
+    at = lambda m: dt.datetime(2026, 1, 1) + dt.timedelta(minutes=m)
+    pile, began = dealing.Pile(1), time.thread_time()
+    for i in range(1, 20_001):
+        pile.add(f"i{i}", i)
+    assert [pile.take(w, at(0)) for w in "xy"] == ["i1", "i1"] and pile.save("i1", "x", at(0)) and pile.save("i1", "y", at(0))
+    assert [pile.take(w, at(1)) for w in "xy"] == ["i2", "i3"] and pile.save("i4", "y", at(2)) and not pile.save("i2", "y", at(2))
+    # y's own hold ends with the next take, i4 is labelled; after an hour x's i2 is anybody's, and x still gives back what nobody took
+    assert pile.take("y", at(3)) == "i3" and pile.give_back("y") and not pile.give_back("y")
+    assert pile.take("y", at(61)) == "i2" and not pile.give_back("x") and pile.take("x", at(62)) == "i3"
+    for i in range(5, 20_001):
+        assert pile.save(pile.last["x"], "x", at(63)) and pile.take("x", at(63)) == f"i{i}"
+    assert time.thread_time() - began < 20
