@@ -65,6 +65,9 @@ def trigram_pairs(left: DataFrame, right: DataFrame, floor: float = 0.3, tmp: Sc
 HELD, ASKED, SHARES = 200_000, 10_000, 16
 #: A gram of more than one record in so many is kept as a row over all records, which is quicker to add than a list.
 DENSE = 32
+#: Where less than one name in so many is left, those are looked at one by one.
+FEW = 16
+NONE = (np.empty(0, np.int64), np.empty(0, np.int64))
 
 
 class Held:
@@ -73,7 +76,8 @@ class Held:
     def __init__(self, names: pa.Array, grams: pa.Array) -> None:
         self.names, self.sizes = names, pc.list_value_length(grams).to_numpy(zero_copy_only=False).astype(np.int64)
         self.vocabulary, g = np.unique(grams.flatten().to_numpy(zero_copy_only=False), return_inverse=True)
-        df = np.bincount(g, minlength=len(self.vocabulary))
+        self.df = df = np.bincount(g, minlength=len(self.vocabulary))
+        self.grams, self.starts, self.marked = g.astype(np.int32), np.cumsum(self.sizes) - self.sizes, np.zeros(len(df), bool)
         self.ends = np.concatenate([[0], np.cumsum(df)]).tolist()
         self.lists = np.repeat(np.arange(len(self.sizes), dtype=np.int32), self.sizes)[np.argsort(g, kind="stable")]
         self.rows = {}
@@ -85,19 +89,42 @@ class Held:
     def list(self, i: int) -> np.ndarray:
         return self.lists[self.ends[i] : self.ends[i + 1]]
 
+    def count(self, shared: np.ndarray, ids: np.ndarray) -> None:
+        for i in ids.tolist():
+            if i in self.rows:
+                shared += self.rows[i]
+            else:
+                shared[self.list(i)] += 1
+
     def best(self, grams: np.ndarray, k: int, floor: float) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of the ``k`` names most like the one with these grams, and their likeness in millionths; equals in the order of the names."""
         n, at = len(grams), np.minimum(np.searchsorted(self.vocabulary, grams), len(self.vocabulary) - 1)
         shared = self.counts if n < 256 else np.zeros(len(self.sizes), np.int32)
         shared[:] = 0
-        for i in at[self.vocabulary[at] == grams].tolist():
-            if i in self.rows:
-                shared += self.rows[i]
-            else:
-                shared[self.list(i)] += 1
         # at least floor of a name's own grams are shared, less what rounding to millionths forgives
-        c = np.flatnonzero(shared >= max(1, int(np.ceil((floor - 1e-6) * n))))
-        x = shared[c].astype(np.int64)
+        need, ids = max(1, int(np.ceil((floor - 1e-6) * n))), at[self.vocabulary[at] == grams]
+        if len(ids) < need:
+            return NONE
+        # of the rarest, but need - 1, one is shared; where that leaves few names, only their grams are looked at
+        ids = ids[np.argsort(self.df[ids], kind="stable")]
+        rare = len(ids) - need + 1 if floor >= 0.5 else len(ids)
+        self.count(shared, ids[:rare])
+        rest = ids[rare:]
+        c = np.flatnonzero(shared >= (1 if len(rest) else need))
+        if not len(c):
+            return NONE
+        if len(rest) and len(c) * FEW < len(self.sizes):
+            size = self.sizes[c]
+            end = np.cumsum(size)
+            self.marked[rest] = True
+            x = shared[c] + np.add.reduceat(self.marked[self.grams[np.arange(end[-1]) + np.repeat(self.starts[c] - (end - size), size)]].astype(np.int64), end - size)
+            self.marked[rest] = False
+            c, x = c[x >= need], x[x >= need]
+        else:
+            if len(rest):
+                self.count(shared, rest)
+                c = np.flatnonzero(shared >= need)
+            x = shared[c].astype(np.int64)
         all_ = n + self.sizes[c] - x
         like = (2_000_000 * x + all_) // (2 * all_)
         c, like = c[like >= round(floor * 1e6)], like[like >= round(floor * 1e6)]

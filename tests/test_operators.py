@@ -195,13 +195,14 @@ def test_search_in_blocks_and_shares(spark, monkeypatch):
     names = sorted({"".join(rng.choice(syl) for _ in range(3)) + " " + rng.choice(syl) for _ in range(150)} | {" ".join(f"{syl[i % 8]}{i}" for i in range(j, j + 90)) for j in (0, 5)})
     recs = spark.createDataFrame([(f"{kind}{i:03}", n, kind, True, None) for kind in ("P:1", "Q") for i, n in enumerate(names) if (i % 2 or kind == "Q")], "uid string, name string, kind string, is_active boolean, canonical_uid string")
     asked = [(i, kind, n) for i, n in enumerate(names) for kind in ("P:1", "Q", "R")] + [(999, "Q", "!!"), (998, None, "dre")]
-    got = {}
-    for r in top_candidates(spark.createDataFrame(asked, "id long, kind string, name string"), recs).collect():
-        got.setdefault((r.id, r.uid[:-3]), []).append((r.place, r.name, r.similarity))
-    want = {}
-    for i, kind, n in asked[:-2]:
-        held = [m for j, m in enumerate(names) if kind == "Q" or (kind == "P:1" and j % 2)]
-        sims = sorted((-round(len(grams(n) & grams(m)) / len(grams(n) | grams(m)), 6), m) for m in held)
-        if found := [(p, m, -s) for p, (s, m) in enumerate(sims[:5], 1) if -s >= 0.3]:
-            want[i, kind] = found
-    assert {k: sorted(v) for k, v in got.items()} == want
+    df = spark.createDataFrame(asked, "id long, kind string, name string")
+    for k, floor in ((5, 0.3), (2, 0.6)):
+        got, want = {}, {}
+        for r in top_candidates(df, recs, k, floor).collect():
+            got.setdefault((r.id, r.uid[:-3]), []).append((r.place, r.name, r.similarity))
+        for i, kind, n in asked[:-2]:
+            held = [m for j, m in enumerate(names) if kind == "Q" or (kind == "P:1" and j % 2)]
+            sims = sorted((-round(len(grams(n) & grams(m)) / len(grams(n) | grams(m)), 6), m) for m in held)
+            if found := [(p, m, -s) for p, (s, m) in enumerate(sims[:k], 1) if -s >= floor]:
+                want[i, kind] = found
+        assert {x: sorted(v) for x, v in got.items()} == want
