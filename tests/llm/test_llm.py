@@ -258,6 +258,26 @@ def test_the_tenth_of_many_namesakes_is_found(spark):
     assert {r.extracted_id: r.uid for r in matching.match(spark.createDataFrame(said, EXT), spark.createDataFrame(ents, ENT)).collect()} == {1: "u19"}
 
 
+def test_people_of_one_name_are_told_apart_by_their_records(spark, tmp_path):
+    from authlens.llm.queries import p5_found
+
+    year = lambda y: {"Birth Year": y}
+    ents = [(f"u{y}", "Zurnleln Norrlelk", "PERSON", None, {"Birth Year (yyyy)": y}, True) for y in ("1950", "1980")]
+    names_ = [("Zurnleln Norrlelk", "1950"), ("Norrlelk, Zurnleln", "1950"), ("Mr Zurnleln Norrlelk", "1980"), ("Prof. Zurnleln Norrlelk", "1980")]
+    said = [(i, i, n, None, "PERSON", year(y), dt.datetime(2026, 1, 1)) for i, (n, y) in enumerate(names_, 1)]
+    # no record has these: their names alone link them
+    said += [(i, i, n, None, "PERSON", {}, dt.datetime(2026, 1, 1)) for i, n in enumerate(("Brelvtend Druniss", "Druniss, Brelvtend", "Brelvtendd Druniss"), 5)]
+    spark.createDataFrame(ents, ENT).write.parquet(f"{tmp_path}/entities.parquet")
+    spark.createDataFrame(said, EXT).write.parquet(f"{tmp_path}/extracted_entities.parquet")
+    assert {(r.id_a, r.id_b) for r in p5_found(spark, str(tmp_path)).collect()} == {(1, 2), (3, 4), (5, 6), (5, 7), (6, 7)}
+
+
+def test_a_mention_without_a_record_goes_with_its_cluster_unless_its_year_is_another(spark):
+    rows = [(1, 7, "a", 1950), (2, 7, "a", None), (3, 7, None, None), (4, 7, None, 1951), (5, 7, None, 1980), (6, 8, "a", None), (7, 8, "b", None), (8, 8, None, None)]
+    got = {r.id: r.cluster for r in variants.with_records(spark.createDataFrame(rows, "id long, cluster long, thing string, year int")).collect()}
+    assert len({got[i] for i in (1, 2, 3, 4, 6)}) == 1 and got[5] == 7 and got[8] == 8 and len(set(got.values())) == 4
+
+
 def test_no_plain_character_stands_in_for_another(spark):
     rows = spark.createDataFrame([(f"a{chr(c)}",) for c in range(0x21, 0x3100) if not 0xD800 <= c < 0xE000], "v string")
     got = {r.v: r.needed for r in confusables.with_forms(rows, "v").collect()}
