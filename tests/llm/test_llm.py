@@ -278,6 +278,19 @@ def test_a_mention_without_a_record_goes_with_its_cluster_unless_its_year_is_ano
     assert len({got[i] for i in (1, 2, 3, 4, 6)}) == 1 and got[5] == 7 and got[8] == 8 and len(set(got.values())) == 4
 
 
+def test_names_without_a_space_in_a_pet_form_and_of_one_record_are_linked(spark):
+    assert names.parts("NelxlerBorthorrn") == names.parts("Nelxler Borthorrn") and names.parts("MrKaešux KMAFKondnouxvale") == ("kaesux", "kmaf", "kondnouxvale")
+    assert names.parts("McDonald TSOUK MacDonald") == ("mcdonald", "tsouk", "macdonald")
+    assert names.near("nugy", "nuglothunn") and names.near("hexie", "hexkowex") and not names.near("nugy", "nurlothunn")
+    assert variants.ring(("laun", "vaipbaun")) == variants.ring(("vaip", "baun", "laun"))
+    said = [(1, "Nuglothunn Borthorrn", "PERSON"), (2, "NuglothunnBorthorrn", "PERSON"), (3, "Nugy Borthorrn", "PERSON"), (4, "Kaivmord Museum Trust", "ORGANISATION"), (5, "Zelpin Dental Group", "ORGANISATION"), (6, "Drunweth Skelr", "PERSON"), (7, "Laimoush Pirn", "PERSON")]
+    said = spark.createDataFrame([(i, i, n, None, k, {}, dt.datetime(2026, 1, 1)) for i, n, k in said], EXT)
+    # a match of 0.85 is sure enough of an organisation, not of a person
+    known = spark.createDataFrame([(4, "u1", 0.85), (5, "u1", 0.95), (6, "u2", 0.85), (7, "u2", 0.95)], "extracted_id long, uid string, confidence double")
+    got = {r.id: r.cluster for r in variants.variant_clusters(said, spark.createDataFrame([], ENT), matches=known).collect()}
+    assert got[1] == got[2] == got[3] and got[4] == got[5] and len(set(got.values())) == 4
+
+
 def test_no_plain_character_stands_in_for_another(spark):
     rows = spark.createDataFrame([(f"a{chr(c)}",) for c in range(0x21, 0x3100) if not 0xD800 <= c < 0xE000], "v string")
     got = {r.v: r.needed for r in confusables.with_forms(rows, "v").collect()}
