@@ -252,6 +252,18 @@ def test_a_short_name_of_two_people_joins_none_of_their_names(spark):
     assert {(r.a, r.b) for r in got.collect()} == {(4, 3)}
 
 
+def test_only_pairs_that_fields_can_lift_over_the_floor_are_weighed(spark):
+    told = [{"born": "1950", "job": "Potter", "org": "Kand Trust"}, {"born": "~1951", "nation": "Velland", "text": "potter and poet"}, {"job": "Poet", "text": "x"}, {"org": "Kand Trust", "post": "12345", "street": "1 Kand Street", "host": "Zel"}, {}]
+    assert all(matching.agreement(a, b)[0] <= matching.most_added(a, b) + 1e-9 for a in told for b in told)
+    assert matching.most_added(told[0], told[1]) == pytest.approx(0.23) and matching.most_added(told[0], {}) == 0
+    # words passed over unread are those that are not near
+    words = ["kand", "akand", "kadn", "nakd", "mand", "mandorel", "kandorel", "akndorela", "kandoreli", "k", "ka"]
+    for x, y in ((x, y) for x in words for y in words if x != y):
+        got = names.similarity((x, "zelpin"), (y, "zelpin"), lambda w: 1.0)
+        s = names.near(x, y)
+        assert got == pytest.approx((1 + s * (1 if len(x) > 1 else 0.5)) / (1 + (1 if len(x) > 1 else 0.5)) if s else 1 / (1 + (0.8 if len(x) > 1 else 0.24) + (0.45 if len(y) > 1 else 0.135))), (x, y)
+
+
 def test_the_tenth_of_many_namesakes_is_found(spark):
     ents = [(f"u{i}", "Zurnleln Norrlelk", "PERSON", None, {"Occupation": "Editor" if i == 19 else "Potter"}, True) for i in range(10, 30)]
     said = [(1, 5, "Zurnleln Norrlelk", None, "PERSON", {"Job": "Editor"}, dt.datetime(2026, 1, 1))]
