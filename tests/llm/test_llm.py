@@ -297,8 +297,8 @@ def test_names_without_a_space_in_a_pet_form_and_of_one_record_are_linked(spark)
     assert variants.ring(("laun", "vaipbaun")) == variants.ring(("vaip", "baun", "laun"))
     said = [(1, "Nuglothunn Borthorrn", "PERSON"), (2, "NuglothunnBorthorrn", "PERSON"), (3, "Nugy Borthorrn", "PERSON"), (4, "Kaivmord Museum Trust", "ORGANISATION"), (5, "Zelpin Dental Group", "ORGANISATION"), (6, "Drunweth Skelr", "PERSON"), (7, "Laimoush Pirn", "PERSON")]
     said = spark.createDataFrame([(i, i, n, None, k, {}, dt.datetime(2026, 1, 1)) for i, n, k in said], EXT)
-    # a match of 0.85 is sure enough of an organisation, not of a person
-    known = spark.createDataFrame([(4, "u1", 0.85), (5, "u1", 0.95), (6, "u2", 0.85), (7, "u2", 0.95)], "extracted_id long, uid string, confidence double")
+    # a match under 0.9 says no more than the names do
+    known = spark.createDataFrame([(4, "u1", 0.91), (5, "u1", 0.95), (6, "u2", 0.85), (7, "u2", 0.95)], "extracted_id long, uid string, confidence double")
     got = {r.id: r.cluster for r in variants.variant_clusters(said, spark.createDataFrame([], ENT), matches=known).collect()}
     assert got[1] == got[2] == got[3] and got[4] == got[5] and len(set(got.values())) == 4
 
