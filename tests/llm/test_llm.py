@@ -303,6 +303,24 @@ def test_names_without_a_space_in_a_pet_form_and_of_one_record_are_linked(spark)
     assert got[1] == got[2] == got[3] and got[4] == got[5] and len(set(got.values())) == 4
 
 
+def test_what_fits_one_cluster_alone_goes_to_it_and_initials_join_no_two_people(spark):
+    said = [(1, "Borp Kweem Ngorp", "PERSON"), (2, "Borp Kweem Ngrrp", "PERSON"), (3, "Yolk Louk Pouk", "PERSON"), (4, "Yolk Louk Pouk, Skanxmelk", "PERSON"), (5, "Skanxmelk Yolk", "PERSON")]
+    said += [(6, "Wohilmere Harbour Science Association", "ORGANISATION"), (7, "WHSA Wohilmere", "ORGANISATION"), (8, "Tirnkor Harbour Science Association", "ORGANISATION")]
+    said += [(9, "Mixvelthrol Kanskoss", "PERSON"), (10, "Mavitith Kanskoss", "PERSON"), (11, "M. Kanskoss", "PERSON"), (12, "Kand", "PERSON"), (13, "Kand Zelpin Kand", "PERSON")]
+    # a word that many names have, each of another person
+    said += [(20 + i, f"{a}orth {b}ulm Ngorp", "PERSON") for i, (a, b) in enumerate(zip("BDFGKLMNPRSTVZ", "ZVTSRPNMLKGFDB"))]
+    said = spark.createDataFrame([(i, i, n, None, k, {}, dt.datetime(2026, 1, 1)) for i, n, k in said], EXT)
+    got = {r.id: r.cluster for r in variants.variant_clusters(said, spark.createDataFrame([], ENT)).collect()}
+    assert got[1] == got[2] and got[3] == got[4] == got[5] and got[6] == got[7] != got[8] and got[9] != got[10] and got[11] in (got[9], got[10])
+    assert len(got) == 27 and len({got[i] for i in got if i > 19 or i == 1}) == 15
+
+
+def test_a_name_goes_with_the_record_its_own_mentions_have(spark):
+    rows = [(1, 7, "a", None, 1), (2, 7, "a", None, 1), (3, 7, "a", None, 1), (4, 7, "b", None, 2), (5, 7, None, None, 2), (6, 7, None, None, 3)]
+    got = {r.id: r.cluster for r in variants.with_records(spark.createDataFrame(rows, "id long, cluster long, thing string, year int, name long")).collect()}
+    assert got[4] == got[5] != got[1] == got[6]
+
+
 def test_no_plain_character_stands_in_for_another(spark):
     rows = spark.createDataFrame([(f"a{chr(c)}",) for c in range(0x21, 0x3100) if not 0xD800 <= c < 0xE000], "v string")
     got = {r.v: r.needed for r in confusables.with_forms(rows, "v").collect()}
